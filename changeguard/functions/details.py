@@ -98,10 +98,11 @@ def map_at(d: Column, path: str) -> Column:
 
 def entry_record_ids(ledger: DataFrame) -> DataFrame:
     """One row per (entry, record id), with the field that named it first."""
-    rows = F.concat(*[
-        F.transform(ids_from(F.col("d"), source),
-                    lambda x, rank=rank: F.struct(x.alias("id"), F.lit(rank).alias("rank")))
-        for rank, source in enumerate(ID_SOURCES)])
+    def ranked(rank: int, source: str) -> Column:
+        return F.transform(ids_from(F.col("d"), source),
+                           lambda x: F.struct(x.alias("id"), F.lit(rank).alias("rank")))
+
+    rows = F.concat(*[ranked(rank, source) for rank, source in enumerate(ID_SOURCES)])
     source_names = F.array(*[F.lit(source) for source in ID_SOURCES])
     return (parsed(ledger)
             .select("segment", "seq", "module", "outcome", F.inline(rows))

@@ -25,18 +25,25 @@ def link_hash(prev: Column, body: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(F.concat_ws("|", prev, body), 256))
 
 
-def _fold(rows: pd.DataFrame) -> pd.DataFrame:
-    """Chain one segment: each hash covers the one before it."""
-    if len(rows) > SEGMENT_SIZE:
-        raise ValueError(f"segment {rows.segment.iloc[0]} holds {len(rows)} entries, over {SEGMENT_SIZE}")
-    rows = rows.sort_values("seq")
-    prev, links = rows.start_hash.iloc[0], []
-    for body in rows.body:
-        digest = "sha256:" + hashlib.sha256(f"{prev}|{body}".encode()).hexdigest()
-        links.append((prev, digest))
-        prev = digest
-    return pd.DataFrame({"segment": rows.segment.values, "seq": rows.seq.values,
-                         "prev": [p for p, _ in links], "entry_hash": [h for _, h in links]})
+def _folder(limit: int):
+    """The function that chains one segment.
+
+    Made here, not named at module level, so that it travels to the executors
+    by value and they need no copy of this package.
+    """
+    def fold(rows: pd.DataFrame) -> pd.DataFrame:
+        if len(rows) > limit:
+            raise ValueError(f"segment {rows.segment.iloc[0]} holds {len(rows)} entries, over {limit}")
+        rows = rows.sort_values("seq")
+        prev, before, after = rows.start_hash.iloc[0], [], []
+        for body in rows.body:
+            before.append(prev)
+            prev = "sha256:" + hashlib.sha256(f"{prev}|{body}".encode()).hexdigest()
+            after.append(prev)
+        return pd.DataFrame({"segment": rows.segment.values, "seq": rows.seq.values,
+                             "prev": before, "entry_hash": after})
+
+    return fold
 
 
 def chain_entries(entries: DataFrame, starts: DataFrame | None = None) -> DataFrame:
@@ -53,7 +60,7 @@ def chain_entries(entries: DataFrame, starts: DataFrame | None = None) -> DataFr
         seeded = entries.join(starts.select("segment", "start_hash"), "segment")
     bodies = seeded.select("segment", "seq", "start_hash", entry_body(entries).alias("body"))
     links = bodies.groupBy("segment").applyInPandas(
-        _fold, "segment bigint, seq bigint, prev string, entry_hash string")
+        _folder(SEGMENT_SIZE), "segment bigint, seq bigint, prev string, entry_hash string")
     return entries.join(links, ["segment", "seq"])
 
 

@@ -8,17 +8,16 @@ from pyspark.sql import types as T
 
 
 def read_envelopes(spark: SparkSession, path: str, key: str = "data",
-                   schema: T.DataType | str | None = None) -> DataFrame:
+                   schema: T.StructType | None = None) -> DataFrame:
     """Records out of ``{status, body: {<key>: [...], info}}`` response files.
 
     Give ``schema`` (of one record) to skip inference on large folders.
     """
     reader = spark.read.option("multiLine", True)
     if schema is not None:
-        record = schema if isinstance(schema, T.DataType) else T.StructType.fromDDL(schema)
         reader = reader.schema(T.StructType([
             T.StructField("status", T.LongType()),
-            T.StructField("body", T.StructType([T.StructField(key, T.ArrayType(record))]))]))
+            T.StructField("body", T.StructType([T.StructField(key, T.ArrayType(schema))]))]))
     raw = reader.json(path)
     return (raw.select("status", F.explode(F.col(f"body.{key}")).alias("record"))
             .select("status", "record.*"))

@@ -26,14 +26,19 @@ from changeguard.operators.fingerprints import combined, lane_sums, row_digest
 from changeguard.operators.ranking import dense_index
 from changeguard.sources import commits
 
-ENTRY_SCHEMA = T.StructType.fromDDL(
-    "segment bigint, seq bigint, entry_id string, outcome string, command string, module string, "
-    "plan_key string, at timestamp, detail string, prev string, entry_hash string")
-SEGMENT_SCHEMA = T.StructType.fromDDL("segment bigint, chain_start string, n bigint, last_hash string")
-RECORD_SCHEMA = T.StructType.fromDDL(
-    "entry_id string, id string, source string, role string, before map<string,string>, "
-    "before_modified_time timestamp, intent map<string,string>, written_time timestamp, verdict string, "
-    "archive string")
+TEXT, COUNT, TIME = T.StringType(), T.LongType(), T.TimestampType()
+TEXT_MAP = T.MapType(TEXT, TEXT)
+
+
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+ENTRY_SCHEMA = _schema(segment=COUNT, seq=COUNT, entry_id=TEXT, outcome=TEXT, command=TEXT, module=TEXT,
+                       plan_key=TEXT, at=TIME, detail=TEXT, prev=TEXT, entry_hash=TEXT)
+SEGMENT_SCHEMA = _schema(segment=COUNT, chain_start=TEXT, n=COUNT, last_hash=TEXT)
+RECORD_SCHEMA = _schema(entry_id=TEXT, id=TEXT, source=TEXT, role=TEXT, before=TEXT_MAP,
+                        before_modified_time=TIME, intent=TEXT_MAP, written_time=TIME, verdict=TEXT, archive=TEXT)
 COMMIT_SCHEMA = "number bigint, token string, prev string, segments_digest string, head string"
 NEW_ENTRY = ("entry_id", "outcome", "command", "module", "plan_key", "at", "detail")
 # segments per folder: enough rows per file, few enough folders, and the

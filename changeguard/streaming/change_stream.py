@@ -45,12 +45,13 @@ def dedupe_delivered(batch: DataFrame, delivered: DataFrame | None) -> DataFrame
 def write_batch(batch: DataFrame, batch_id: int, sink: str, read_ledger: LedgerReader,
                 raw: str = "modified_raw") -> None:
     spark = batch.sparkSession
-    changes = read_changes(batch, raw)
+    changes = read_changes(batch, raw).persist()
     span = changes.agg(F.min("modified_at").alias("low"), F.max("modified_at").alias("high")).head()
     fresh = dedupe_delivered(changes, delivered_before(spark, sink, batch_id, span.low, span.high))
     ledger, records = read_ledger(spark)
     flagged = match_governed(fresh, governed_keys(ledger, records))
     flagged.write.mode("overwrite").parquet(f"{sink}/batches/batch_id={batch_id}")
+    changes.unpersist()
 
 
 def stream_changes(stream: DataFrame, read_ledger: LedgerReader, sink: str, checkpoint: str,

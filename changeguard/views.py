@@ -99,11 +99,15 @@ def line_children(spark: SparkSession, sf_dir: str) -> DataFrame:
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change feed: every event changes one record; some times carry an
     offset and some cannot be read."""
+    return changes_of(table(spark, sf_dir, "events"))
+
+
+def changes_of(events: DataFrame) -> DataFrame:
     second = F.date_trunc("second", "ts")
     shifted = F.concat(F.date_format(second + F.expr(OFFSET), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:30"))
     raw = (F.when(F.col("event_id") % 97 == 0, "unreadable").when(F.col("event_id") % 5 == 0, shifted)
            .otherwise(iso_text(second)))
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "event_id", _event_module().alias("module"), text("user_id").alias("id"), raw.alias("modified_raw"),
         F.col("event_type").alias("modified_by"))
 
