@@ -41,9 +41,9 @@ RECORD_SCHEMA = _schema(entry_id=TEXT, id=TEXT, source=TEXT, role=TEXT, before=T
                         before_modified_time=TIME, intent=TEXT_MAP, written_time=TIME, verdict=TEXT, archive=TEXT)
 COMMIT_SCHEMA = "number bigint, token string, prev string, segments_digest string, head string"
 NEW_ENTRY = ("entry_id", "outcome", "command", "module", "plan_key", "at", "detail")
-# segments per folder: enough rows per file, few enough folders, and the
-# segment statistics inside the files prune the rest
-SEGMENTS_PER_GROUP = 1024
+# every append writes its own folder, named by the segments it reaches, so a
+# read of some segments opens only the folders that hold them
+LAYOUT = _schema(from_segment=COUNT, to_segment=COUNT, token=TEXT)
 
 
 def new_entry(outcome: str, command: str, module: str, plan_key: str, at: str, detail: dict) -> dict:
@@ -80,26 +80,34 @@ class LedgerStore:
         return commits.table(self.spark, f"{self.path}/commits", COMMIT_SCHEMA)
 
     def _written(self, part: str, schema: T.StructType) -> DataFrame:
-        stored = T.StructType([*schema.fields, T.StructField("token", T.StringType())])
+        stored = T.StructType([*schema.fields, *LAYOUT.fields])
         folder = f"{self.path}/{part}"
         if not commits.exists(self.spark, folder):
             return self.spark.createDataFrame([], stored)
         return self.spark.read.schema(stored).parquet(folder)
 
+    def _folder(self, part: str, first: int, last: int, token: str) -> str:
+        return f"{self.path}/{part}/from_segment={first}/to_segment={last}/token={token}"
+
     def _committed(self, part: str, schema: T.StructType) -> DataFrame:
-        return self._written(part, schema).join(self.commit_table().select("token"), "token", "left_semi")
+        rows = self._written(part, schema).join(self.commit_table().select("token"), "token", "left_semi")
+        return rows.select(*schema.fieldNames(), *LAYOUT.fieldNames())
 
-    def read(self, segments: str = "all") -> DataFrame:
-        """Entries of all committed segments, or of the live one only."""
-        entries = self._committed("entries", ENTRY_SCHEMA).drop("token")
+    def read(self, segments: str | tuple[int, int] = "all") -> DataFrame:
+        """Entries of all committed segments, of a range of them, or of the
+        live one only."""
+        entries = self._committed("entries", ENTRY_SCHEMA)
         if segments == "live":
             newest = self.last()
-            if newest:
-                entries = entries.where(F.col("segment") == newest["end_segment"])
-        return entries
+            segments = (newest["end_segment"],) * 2 if newest else (0, 0)
+        if segments != "all":
+            low, high = segments
+            entries = entries.where((F.col("to_segment") >= low) & (F.col("from_segment") <= high)
+                                    & F.col("segment").between(low, high))
+        return entries.select(*ENTRY_SCHEMA.fieldNames())
 
     def records(self) -> DataFrame:
-        return self._committed("records", RECORD_SCHEMA).drop("token")
+        return self._committed("records", RECORD_SCHEMA).select(*RECORD_SCHEMA.fieldNames())
 
     def segments(self) -> DataFrame:
         """Newest known end of every segment."""
@@ -115,40 +123,33 @@ class LedgerStore:
 
         A full segment is never reopened; the live one is filled up first.
         """
-        if not isinstance(entries, DataFrame):
-            rows = list(entries)
-            entries = self.spark.createDataFrame(
-                [tuple(row[c] for c in NEW_ENTRY) for row in rows],
-                "entry_id string, outcome string, command string, module string, plan_key string, "
-                "at string, detail string")
-        entries = entries.select(*[F.col(c).cast("timestamp") if c == "at" else F.col(c) for c in NEW_ENTRY])
+        indexed = self._indexed(entries, order)
         last = self.last()
         head, number = (last["head"], last["number"]) if last else (GENESIS, 0)
         live, used = (last["live_segment"], last["live_n"]) if last else (0, 0)
         size = self.segment_size
-        placed = dense_index(entries, order, "_i").withColumn("_at", F.col("_i") + F.lit(live * size + used))
-        numbered = placed.select(
-            F.floor(F.col("_at") / size).cast("bigint").alias("segment"),
-            (F.col("_at") % size + 1).cast("bigint").alias("seq"), *NEW_ENTRY)
-        starts = numbered.select("segment").distinct().withColumn("start_hash", F.when(
-            (F.col("segment") == live) & F.lit(used > 0), F.lit(last["live_hash"] if last else GENESIS)
-        ).otherwise(first_hash(F.lit(head), F.col("segment"))))
+        place = F.col("_i") + F.lit(live * size + used)
+        numbered = indexed.select(F.floor(place / size).cast("bigint").alias("segment"),
+                                  (place % size + 1).cast("bigint").alias("seq"), *NEW_ENTRY)
+        reached = numbered.agg(F.max("segment").alias("s")).head().s
+        if reached is None:
+            raise ValueError("nothing to append")
+        fresh = first_hash(F.lit(head), F.col("segment"))
+        start = F.when(F.col("segment") == live, F.lit(last["live_hash"])).otherwise(fresh) if used else fresh
+        starts = numbered.select("segment").distinct().withColumn("start_hash", start)
         token = uuid.uuid4().hex
-        chained = chain_entries(numbered, starts).withColumn("token", F.lit(token))
-        group = F.floor(F.col("segment") / SEGMENTS_PER_GROUP)
-        (chained.withColumn("segment_group", group).repartition("segment_group", "segment")
-         .sortWithinPartitions("segment_group", "segment", "seq")
-         .write.mode("append").partitionBy("segment_group").parquet(f"{self.path}/entries"))
-        written = self._written("entries", ENTRY_SCHEMA).where(F.col("token") == token)
-        ends = self._ends(segment_table(written), live if used else None)
-        ends.withColumn("token", F.lit(token)).write.mode("append").parquet(f"{self.path}/segments")
+        folder = {part: self._folder(part, live, reached, token) for part in ("entries", "segments", "records")}
+        (chain_entries(numbered, starts).select(*ENTRY_SCHEMA.fieldNames())
+         .repartitionByRange("segment", "seq").sortWithinPartitions("segment", "seq")
+         .write.parquet(folder["entries"]))
+        written = self.spark.read.schema(ENTRY_SCHEMA).parquet(folder["entries"])
+        self._ends(segment_table(written), live if used else None).write.parquet(folder["segments"])
         if records is not None:
-            (records.select(*RECORD_SCHEMA.fieldNames()).withColumn("token", F.lit(token))
-             .write.mode("append").parquet(f"{self.path}/records"))
-        stored = self._written("segments", SEGMENT_SCHEMA).where(F.col("token") == token)
-        digest, newest = self._segments_digest(stored)
+            records.select(*RECORD_SCHEMA.fieldNames()).write.parquet(folder["records"])
+        digest, newest = self._segments_digest(self.spark.read.schema(SEGMENT_SCHEMA).parquet(folder["segments"]))
         commit = {"number": number + 1, "token": token, "prev": head, "segments_digest": digest,
-                  "end_segment": newest.segment, "live_segment": newest.segment, "live_n": newest.n, "live_hash": newest.last_hash}
+                  "end_segment": newest.segment, "live_segment": newest.segment, "live_n": newest.n,
+                  "live_hash": newest.last_hash}
         commit["head"] = commit_head(commit)
         if commit["live_n"] >= size:
             commit["live_segment"], commit["live_n"] = newest.segment + 1, 0
@@ -156,6 +157,18 @@ class LedgerStore:
             raise DriftRefused("the ledger was appended to meanwhile; append again")
         return commit
 
+    def _indexed(self, entries: DataFrame | Iterable[dict], order: Sequence[str]) -> DataFrame:
+        """Entries with their position in the batch.  A list was made by the
+        caller, one entry per step of a job, and is already in hand."""
+        if not isinstance(entries, DataFrame):
+            rows = sorted(entries, key=lambda row: tuple(row[c] for c in order))
+            plain = "entry_id string, outcome string, command string, module string, plan_key string, at string, detail string"
+            frame = self.spark.createDataFrame(
+                [(i, *[row[c] for c in NEW_ENTRY]) for i, row in enumerate(rows)], f"_i bigint, {plain}")
+            return frame.withColumn("at", F.col("at").cast("timestamp"))
+        typed = entries.select(*[F.col(c).cast("timestamp").alias(c) if c == "at" else F.col(c) for c in NEW_ENTRY])
+        return dense_index(typed, order, "_i")
+
     def _ends(self, ends: DataFrame, continued: int | None) -> DataFrame:
         """Segment rows; a continued segment keeps its start and adds its count."""
         if continued is None:
