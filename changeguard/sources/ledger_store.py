@@ -41,6 +41,7 @@ RECORD_SCHEMA = _schema(entry_id=TEXT, id=TEXT, source=TEXT, role=TEXT, before=T
                         before_modified_time=TIME, intent=TEXT_MAP, written_time=TIME, verdict=TEXT, archive=TEXT)
 COMMIT_SCHEMA = "number bigint, token string, prev string, segments_digest string, head string"
 NEW_ENTRY = ("entry_id", "outcome", "command", "module", "plan_key", "at", "detail")
+BLOCK = 256  # segments per write task
 # every append writes its own folder, named by the segments it reaches, so a
 # read of some segments opens only the folders that hold them
 LAYOUT = _schema(from_segment=COUNT, to_segment=COUNT, token=TEXT)
@@ -139,8 +140,10 @@ class LedgerStore:
         starts = numbered.select("segment").distinct().withColumn("start_hash", start)
         token = uuid.uuid4().hex
         folder = {part: self._folder(part, live, reached, token) for part in ("entries", "segments", "records")}
+        # whole blocks of segments per file, in order: row groups then hold few
+        # segments each, and their statistics prune a read of some of them
         (chain_entries(numbered, starts).select(*ENTRY_SCHEMA.fieldNames())
-         .repartitionByRange("segment", "seq").sortWithinPartitions("segment", "seq")
+         .repartition(F.floor(F.col("segment") / BLOCK)).sortWithinPartitions("segment", "seq")
          .write.parquet(folder["entries"]))
         written = self.spark.read.schema(ENTRY_SCHEMA).parquet(folder["entries"])
         self._ends(segment_table(written), live if used else None).write.parquet(folder["segments"])
