@@ -16,9 +16,9 @@ BODY_FIELDS = ("segment", "seq", "entry_id", "outcome", "command", "module", "pl
 
 def entry_body(df: DataFrame) -> Column:
     """The exact text of an entry that its hash covers."""
-    parts = [(F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") if name == "at"
-              else F.col(name).cast("string")).alias(name) for name in sorted(BODY_FIELDS)]
-    return F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
+    parts = ["date_format(at, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\") as at" if name == "at"
+             else f"cast({name} as string) as {name}" for name in sorted(BODY_FIELDS)]
+    return F.expr(f"to_json(struct({', '.join(parts)}), map('ignoreNullFields', 'false'))")
 
 
 def link_hash(prev: Column, body: Column) -> Column:

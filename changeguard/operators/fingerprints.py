@@ -20,24 +20,42 @@ from pyspark.sql import functions as F
 
 from changeguard.functions.scalars import canonical, flat, flat_value
 
-LANES = [(1 + 6 * i, 6) for i in range(10)] + [(61, 4)]
+# the 64 hex digits of a row hash as six numbers of 12, 12, 12, 12, 12 and 4
+# digits; each of the long ones is two lanes
+WORDS = [(1 + 12 * i, 12) for i in range(5)] + [(61, 4)]
+LANES = [f"lane_{i}" for i in range(11)]
+LOW = (1 << 24) - 1
 
 
 def row_digest(df: DataFrame, cols: Sequence[str]) -> Column:
     return F.sha2(canonical(df, cols), 256)
 
 
-def lane_sums(digest: Column | str) -> list[Column]:
-    text = F.col(digest) if isinstance(digest, str) else digest
-    return [F.coalesce(F.sum(F.conv(F.substring(text, start, size), 16, 10).cast("bigint")), F.lit(0))
-            .alias(f"lane_{i}") for i, (start, size) in enumerate(LANES)]
+def digest_words(digest: str = "_h") -> list[Column]:
+    """A row hash as numbers, for ``lane_sums``."""
+    return [F.expr(f"cast(conv(substring({digest}, {start}, {size}), 16, 10) as bigint) as _w{i}")
+            for i, (start, size) in enumerate(WORDS)]
 
 
-def combined(module: Column, *extra: Column) -> Column:
-    """The final digest from a grouped row that holds ``records`` and the lanes."""
-    parts = [module, *extra, F.col("records").cast("string"),
-             *[F.col(f"lane_{i}").cast("string") for i in range(len(LANES))]]
-    return F.concat(F.lit("sha256:"), F.sha2(F.concat_ws("|", *parts), 256))
+def lane_sums() -> list[Column]:
+    """Order-free sums over the columns of ``digest_words``."""
+    parts = [part for i in range(5) for part in (f"shiftright(_w{i}, 24)", f"_w{i} & {LOW}")] + ["_w5"]
+    return [F.expr(f"coalesce(sum({part}), 0) as {lane}") for part, lane in zip(parts, LANES, strict=True)]
+
+
+def combined(label: str) -> Column:
+    """The final digest from a grouped row that holds ``records`` and the
+    lanes; ``label`` is a SQL expression."""
+    parts = ", ".join([label, "cast(records as string)", *[f"cast({lane} as string)" for lane in LANES]])
+    return F.expr(f"concat('sha256:', sha2(concat_ws('|', {parts}), 256))")
+
+
+def set_digest(hashed: DataFrame, label: str, *extra: Column) -> DataFrame:
+    """One digest of a set of row hashes in column ``_h``: (records, digest)."""
+    kept = [c for c in hashed.columns if c != "_h"]
+    sums = hashed.select(*kept, *digest_words()).agg(F.count("*").alias("records"), *lane_sums(), *extra)
+    more = [c for c in sums.columns if c != "records" and c not in LANES]
+    return sums.select("records", combined(f"'{label}'").alias("digest"), *more)
 
 
 def state_fingerprint(df: DataFrame, module: str | None, guard: Sequence[str],
@@ -49,11 +67,9 @@ def state_fingerprint(df: DataFrame, module: str | None, guard: Sequence[str],
     cannot be guarded, and a caller must treat them as errors.
     """
     hashed = df.select(*by, "id", row_digest(df, ["id", *guard]).alias("_h"))
-    sums = hashed.groupBy(*by).agg(
-        F.count("*").alias("records"),
-        F.count_if(F.col("id").isNull()).alias("null_ids"),
-        *lane_sums("_h"))
-    label = F.lit(module) if module is not None else F.col("module")
+    sums = hashed.select(*by, "id", *digest_words()).groupBy(*by).agg(
+        F.count("*").alias("records"), F.expr("count_if(id is null) as null_ids"), *lane_sums())
+    label = "module" if module is None else "'" + module.replace("'", "''") + "'"
     return sums.select(*by, "records", "null_ids", combined(label).alias("digest"))
 
 
@@ -65,8 +81,7 @@ def fingerprint_value(df: DataFrame, module: str, guard: Sequence[str]):
 def ownership_fingerprint(df: DataFrame) -> DataFrame:
     """Digest of which record ids belong to the set, per module and nothing else."""
     hashed = df.select(F.sha2(F.concat_ws("|", "module", "id"), 256).alias("_h"))
-    sums = hashed.agg(F.count("*").alias("records"), *lane_sums("_h"))
-    return sums.select("records", combined(F.lit("ownership")).alias("digest"))
+    return set_digest(hashed, "ownership")
 
 
 def drift_rows(plan_rows: DataFrame, now_rows: DataFrame, guard: Sequence[str],

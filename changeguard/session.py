@@ -26,10 +26,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g",
+                  parallelism: int | None = None) -> SparkSession:
     """A local session for tests and benchmarks."""
+    builder = SparkSession.builder
+    if parallelism is not None:
+        builder = builder.config("spark.default.parallelism", str(parallelism))
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("changeguard")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)

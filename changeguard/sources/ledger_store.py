@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from changeguard.errors import DriftRefused
 from changeguard.operators.chains import GENESIS, SEGMENT_SIZE, chain_entries, first_hash, segment_table
-from changeguard.operators.fingerprints import combined, lane_sums, row_digest
+from changeguard.operators.fingerprints import combined, digest_words, lane_sums, row_digest, set_digest
 from changeguard.operators.ranking import dense_index
 from changeguard.sources import commits
 
@@ -62,8 +62,7 @@ def records_of(rows: DataFrame, entry_id: str, source: str, **columns) -> DataFr
 def records_digest(records: DataFrame) -> str:
     """Order-free digest of record rows, for the entry that owns them."""
     flat = records.select(row_digest(records, RECORD_SCHEMA.fieldNames()).alias("_h"))
-    return (flat.agg(F.count("*").alias("records"), *lane_sums("_h"))
-            .select(combined(F.lit("records")).alias("d")).head().d)
+    return set_digest(flat, "records").head().digest
 
 
 class LedgerStore:
@@ -124,7 +123,9 @@ class LedgerStore:
 
         A full segment is never reopened; the live one is filled up first.
         """
-        indexed = self._indexed(entries, order)
+        indexed, count = self._indexed(entries, order)
+        if not count:
+            raise ValueError("nothing to append")
         last = self.last()
         head, number = (last["head"], last["number"]) if last else (GENESIS, 0)
         live, used = (last["live_segment"], last["live_n"]) if last else (0, 0)
@@ -132,9 +133,7 @@ class LedgerStore:
         place = F.col("_i") + F.lit(live * size + used)
         numbered = indexed.select(F.floor(place / size).cast("bigint").alias("segment"),
                                   (place % size + 1).cast("bigint").alias("seq"), *NEW_ENTRY)
-        reached = numbered.agg(F.max("segment").alias("s")).head().s
-        if reached is None:
-            raise ValueError("nothing to append")
+        reached = (live * size + used + count - 1) // size
         fresh = first_hash(F.lit(head), F.col("segment"))
         start = F.when(F.col("segment") == live, F.lit(last["live_hash"])).otherwise(fresh) if used else fresh
         starts = numbered.select("segment").distinct().withColumn("start_hash", start)
@@ -160,17 +159,18 @@ class LedgerStore:
             raise DriftRefused("the ledger was appended to meanwhile; append again")
         return commit
 
-    def _indexed(self, entries: DataFrame | Iterable[dict], order: Sequence[str]) -> DataFrame:
-        """Entries with their position in the batch.  A list was made by the
+    def _indexed(self, entries: DataFrame | Iterable[dict], order: Sequence[str]) -> tuple[DataFrame, int]:
+        """Entries with their position in the batch, and how many there are.  A list was made by the
         caller, one entry per step of a job, and is already in hand."""
         if not isinstance(entries, DataFrame):
             rows = sorted(entries, key=lambda row: tuple(row[c] for c in order))
             plain = "entry_id string, outcome string, command string, module string, plan_key string, at string, detail string"
             frame = self.spark.createDataFrame(
                 [(i, *[row[c] for c in NEW_ENTRY]) for i, row in enumerate(rows)], f"_i bigint, {plain}")
-            return frame.withColumn("at", F.col("at").cast("timestamp"))
+            return frame.withColumn("at", F.col("at").cast("timestamp")), len(rows)
         typed = entries.select(*[F.col(c).cast("timestamp").alias(c) if c == "at" else F.col(c) for c in NEW_ENTRY])
-        return dense_index(typed, order, "_i")
+        indexed = dense_index(typed, order, "_i")
+        return indexed, indexed.count()
 
     def _ends(self, ends: DataFrame, continued: int | None) -> DataFrame:
         """Segment rows; a continued segment keeps its start and adds its count."""
@@ -184,9 +184,8 @@ class LedgerStore:
 
     def _segments_digest(self, rows: DataFrame):
         hashed = rows.select("segment", "n", "last_hash", row_digest(rows, SEGMENT_SCHEMA.fieldNames()).alias("_h"))
-        sums = hashed.agg(F.count("*").alias("records"), *lane_sums("_h"),
-                          F.max_by(F.struct("segment", "n", "last_hash"), "segment").alias("newest"))
-        row = sums.select(combined(F.lit("segments")).alias("digest"), "newest").head()
+        row = set_digest(hashed, "segments", F.expr(
+            "max_by(struct(segment, n, last_hash), segment) as newest")).head()
         return row.digest, row.newest
 
     def verify_commits(self) -> DataFrame:
@@ -194,8 +193,9 @@ class LedgerStore:
         still cover the segment ends it was made for?"""
         rows = self._written("segments", SEGMENT_SCHEMA)
         hashed = rows.select("token", row_digest(rows, SEGMENT_SCHEMA.fieldNames()).alias("_h"))
-        ends = (hashed.groupBy("token").agg(F.count("*").alias("records"), *lane_sums("_h"))
-                .select("token", combined(F.lit("segments")).alias("found")))
+        ends = (hashed.select("token", *digest_words()).groupBy("token")
+                .agg(F.count("*").alias("records"), *lane_sums())
+                .select("token", combined("'segments'").alias("found")))
         log = self.commit_table()
         body = F.concat_ws("|", "prev", F.col("number").cast("string"), "token", "segments_digest")
         before = log.select((F.col("number") + 1).alias("number"), F.col("head").alias("before"))

@@ -28,7 +28,7 @@ def test_an_untouched_chain_holds(chained):
     assert (row.intact, row.verified, row.broken_segment, row.applied) == (True, N, None, N)
 
 
-@pytest.mark.parametrize("k", range(N))
+@pytest.mark.parametrize("k", [0, 4, 7, N - 1])
 def test_an_edit_is_found_where_it_was_made(chained, k):
     segments = chains.segment_table(chained)
     at = (F.col("segment") == k // 5) & (F.col("seq") == k % 5 + 1)
@@ -93,7 +93,7 @@ def test_a_fingerprint_ignores_order_and_partitioning(spark):
     assert digest(spark, BASE, module="Leads") != one
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.integers(0, 19), st.integers(0, 3), st.sampled_from(["x", None]))
 def test_any_edited_cell_moves_the_fingerprint(spark, row, cell, value):
     data = [list(r) for r in BASE]

@@ -39,13 +39,27 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("entries,now,expected", CASES)
-def test_custody_table(spark, entries, now, expected):
-    state = current(spark, {"9": WRITE} if now is None else {"1": now or None})
-    _, verdicts, _ = custody.custody_report(ids(spark, "1"), book(spark, *entries), state)
-    row = verdicts.head()
-    assert row.custody == expected
-    assert row.ungoverned is (expected == "diverged")
+def renamed(value, names):
+    """The same entry about other records."""
+    if isinstance(value, dict):
+        return {k: names.get(v, v) if k == "id" else renamed(v, names) for k, v in value.items()}
+    if isinstance(value, list):
+        return [names.get(v, v) if isinstance(v, str) else renamed(v, names) for v in value]
+    return value
+
+
+def test_custody_table(spark):
+    """Every case about its own record, all in one ledger."""
+    entries, state = [], {"9": WRITE}
+    for i, (given, now, _) in enumerate(CASES):
+        names = {"1": f"1{i:02d}", "2": f"2{i:02d}"}
+        entries += [(outcome, renamed(detail, names)) for outcome, detail in given]
+        if now is not None:
+            state[names["1"]] = now or None
+    asked = ids(spark, *[f"1{i:02d}" for i in range(len(CASES))])
+    _, verdicts, _ = custody.custody_report(asked, book(spark, *entries), current(spark, state))
+    got = {int(r.id) - 100: (r.custody, r.ungoverned) for r in verdicts.collect()}
+    assert got == {i: (case[-1], case[-1] == "diverged") for i, case in enumerate(CASES)}
 
 
 def test_an_empty_ledger_claims_nothing(spark):
