@@ -43,17 +43,20 @@ def names_at(d: Column, key: str) -> Column:
     return F.try_variant_get(d, f"$.{key}", "array<string>")
 
 
-def _shape(item: Column) -> Column:
-    return F.schema_of_variant(item)
+def rows_at(d: Column, key: str, fields: str) -> Column:
+    """A list of objects as ARRAY<STRUCT<fields>>.  The cast is per element:
+    whatever is not an object becomes null and does not harm its neighbours."""
+    kind = f"array<struct<{fields}>>"
+    return F.coalesce(F.try_variant_get(d, f"$.{key}", kind), F.expr(f"cast(array() as {kind})"))
 
 
-def _object_id(item: Column) -> Column:
-    found = F.when(_shape(item).startswith("OBJECT"), F.try_variant_get(item, "$.id", "string"))
-    return F.when(found != "", found)
+def _bare_id(item: Column) -> Column:
+    return F.when(F.schema_of_variant(item).isin("STRING", "BIGINT"), F.try_variant_get(item, "$", "string"))
 
 
-def _bare_id(item: Column) -> Column:
-    return F.when(_shape(item).isin("STRING", "BIGINT"), F.try_variant_get(item, "$", "string"))
+def named_ids(rows: Column) -> Column:
+    """Ids of the rows that carry one."""
+    return F.transform(F.filter(rows, lambda x: F.coalesce(x["id"], F.lit("")) != ""), lambda x: x["id"])
 
 
 def ids_from(d: Column, source: str) -> Column:
@@ -64,9 +67,13 @@ def ids_from(d: Column, source: str) -> Column:
     if source == "losers":
         found = F.transform(list_at(d, source), _bare_id)
     elif source == "targets":
-        found = F.transform(list_at(d, source), lambda x: F.coalesce(_object_id(x), _bare_id(x)))
+        # objects by their id, everything else only if it is an id itself
+        rows = rows_at(d, source, "id:string")
+        mixed = F.zip_with(rows, list_at(d, source), lambda row, item: F.coalesce(
+            F.when(row["id"] != "", row["id"]), F.when(row.isNull(), _bare_id(item))))
+        found = F.when(F.exists(rows, lambda row: row.isNull()), mixed).otherwise(named_ids(rows))
     else:
-        found = F.transform(list_at(d, source), _object_id)
+        return named_ids(rows_at(d, source, "id:string"))
     return F.filter(found, lambda x: x.isNotNull())
 
 
@@ -77,23 +84,25 @@ def observed_ids(d: Column) -> Column:
 
 def written_rows(d: Column) -> Column:
     """ARRAY<STRUCT<id, modified_time>> of the rows a writer confirmed."""
-    rows = F.transform(list_at(d, "written"), lambda x: F.struct(
-        _object_id(x).alias("id"),
-        iso_utc(F.when(_shape(x).startswith("OBJECT"),
-                       F.try_variant_get(x, "$.modified_time", "string"))).alias("modified_time")))
-    return F.filter(rows, lambda x: x["id"].isNotNull())
+    given = F.filter(rows_at(d, "written", "id:string,modified_time:string"),
+                     lambda x: F.coalesce(x["id"], F.lit("")) != "")
+    return F.transform(given, lambda x: F.struct(
+        x["id"].alias("id"), iso_utc(x["modified_time"]).alias("modified_time")))
 
 
 def flat_variant(item: Column) -> Column:
     """Text of one JSON value; an object that carries an id is that id."""
-    by_id = F.when(_shape(item).startswith("OBJECT"), F.try_variant_get(item, "$.id", "string"))
-    return F.coalesce(by_id, F.try_variant_get(item, "$", "string"))
+    return F.coalesce(F.try_variant_get(item, "$.id", "string"), F.try_variant_get(item, "$", "string"))
+
+
+def flat_map(cells: Column) -> Column:
+    """MAP<STRING, VARIANT> with every value as flat text."""
+    return F.transform_values(cells, lambda _, item: flat_variant(item))
 
 
 def map_at(d: Column, path: str) -> Column:
     """An object field as MAP<STRING, STRING> of flat values; null otherwise."""
-    cells = F.try_variant_get(d, path, "map<string,variant>")
-    return F.transform_values(cells, lambda _, item: flat_variant(item))
+    return flat_map(F.try_variant_get(d, path, "map<string,variant>"))
 
 
 def entry_record_ids(ledger: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def iso_utc(value: Column | str) -> Column:
 
     No offset means UTC, whatever the session zone is.
     """
-    text = F.upper(F.regexp_replace(as_column(value), r"^\s+|\s+$", ""))
+    text = F.upper(F.btrim(as_column(value), F.lit(" \t\n\r\v\f")))
     zoned = F.when(F.length(text) == 19, F.concat(text, F.lit("Z"))).otherwise(text)
     return F.when(text.rlike(ISO_SHAPE), F.try_to_timestamp(zoned))
 

@@ -109,21 +109,24 @@ def ledger_by_record(ledger: DataFrame, records: DataFrame | None = None) -> Dat
     """
     named = details.parsed(ledger.where(F.col("outcome") != "reconciled"))
     d = F.col("d")
-    # rows with a time sort before rows without, so the first row per id is kept
-    timed = F.transform(details.written_rows(d), lambda x: F.struct(
-        x["id"].alias("id"), F.when(x["modified_time"].isNull(), 1).otherwise(0).alias("untimed"),
-        x["modified_time"].alias("written_time")))
-    bare = F.transform(details.observed_ids(d), lambda x: F.struct(
-        x.alias("id"), F.lit(1).alias("untimed"), F.lit(None).cast("timestamp").alias("written_time")))
     header = ["segment", "seq", "entry_id", "outcome", "command", "module", "plan_key", "at"]
+    others = F.concat(*[details.ids_from(d, source) for source in details.ID_SOURCES if source != "written"])
     held = named.select(*header, details.names_at(d, "fields").alias("fields"),
                         details.text_at(d, "$.reason").alias("reason"),
-                        F.array_sort(F.concat(timed, bare)).alias("_all"))
-    first = F.filter("_all", lambda x, i: (i == 0) | (F.get(F.col("_all"), i - 1)["id"] != x["id"]))
-    rows = held.select(*header, "fields", "reason", F.inline(first)).drop("untimed")
+                        details.written_rows(d).alias("_written"), others.alias("_others"))
+    ids = F.transform("_written", lambda x: x["id"])
+    # an id written twice in one entry keeps its latest time; the sort that
+    # takes is only done for entries that have one
+    ordered = F.array_sort("_written")
+    latest = F.filter(ordered, lambda x, i: F.coalesce(F.get(ordered, i + 1)["id"] != x["id"], F.lit(True)))
+    timed = F.when(F.size(F.array_distinct(ids)) == F.size("_written"), F.col("_written")).otherwise(latest)
+    rest = F.transform(F.array_except("_others", ids), lambda x: F.struct(
+        x.alias("id"), F.lit(None).cast("timestamp").alias("modified_time")))
+    rows = held.select(*header, "fields", "reason", F.inline(F.concat(timed, rest))).withColumnRenamed(
+        "modified_time", "written_time")
     if records is not None:
         stored = records.select("entry_id", "id", "written_time").join(
-            held.drop("_all"), "entry_id")
+            held.drop("_written", "_others"), "entry_id")
         rows = rows.unionByName(stored)
     return rows
 
@@ -163,8 +166,7 @@ def reconciled_heads(ledger: DataFrame) -> DataFrame:
 def verdict_by_id(ledger: DataFrame, records: DataFrame | None = None) -> DataFrame:
     """Per reconciled entry: the verdict on each record id."""
     heads = reconciled_heads(ledger)
-    item = F.transform(details.list_at(F.col("d"), "verdicts"), lambda x: F.struct(
-        details.text_at(x, "$.id").alias("id"), details.text_at(x, "$.verdict").alias("verdict")))
+    item = F.filter(details.rows_at(F.col("d"), "verdicts", "id:string,verdict:string"), lambda x: x.isNotNull())
     keep = ["segment", "seq", "resolves_segment", "resolves_seq"]
     rows = heads.select(*keep, F.inline(item)).where(F.col("id").isNotNull())
     if records is not None:

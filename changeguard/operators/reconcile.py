@@ -13,6 +13,7 @@ from changeguard.operators.ledgers import open_unresolved, reconciled_heads, ver
 
 COUNTED = ("landed", "not_landed", "unknown")
 SETTLING = ("landed", "not_landed")
+TARGET = "id:string,before:map<string,variant>,before_modified_time:string,intent:map<string,variant>,role:string"
 EMPTY = "cast(map() as map<string,string>)"
 
 
@@ -24,10 +25,10 @@ def unresolved_targets(pending: DataFrame, records: DataFrame | None = None) ->
         "segment", "seq", "entry_id", "command", "module", "d",
         details.text_at(d, "$.verdict_basis").alias("basis"),
         details.map_at(d, "$.intent").alias("entry_intent"))
-    item = F.transform(details.list_at(F.col("d"), "targets"), lambda x: F.struct(
-        details.text_at(x, "$.id").alias("id"), details.map_at(x, "$.before").alias("before"),
-        details.text_at(x, "$.before_modified_time").alias("before_raw"),
-        details.map_at(x, "$.intent").alias("own_intent"), details.text_at(x, "$.role").alias("role")))
+    item = F.transform(details.rows_at(F.col("d"), "targets", TARGET), lambda x: F.struct(
+        x["id"].alias("id"), details.flat_map(x["before"]).alias("before"),
+        x["before_modified_time"].alias("before_raw"), details.flat_map(x["intent"]).alias("own_intent"),
+        x["role"].alias("role")))
     rows = (held.select(*header, F.inline(item)).where(F.coalesce("id", F.lit("")) != "")
             .select(*header, "id", "before", iso_utc("before_raw").alias("before_time"),
                     (F.coalesce("before_raw", F.lit("")) == "").alias("no_baseline"), "own_intent", "role"))
@@ -44,10 +45,8 @@ def unresolved_targets(pending: DataFrame, records: DataFrame | None = None) ->
 
 def settled_rows(pending: DataFrame, records: DataFrame | None = None) -> DataFrame:
     """(segment, seq, id) an entry itself recorded as written before it failed."""
-    rows = F.transform(details.list_at(F.col("d"), "written_before_failure"),
-                       lambda x: details.text_at(x, "$.id"))
-    inline = (details.parsed(pending).select("segment", "seq", F.explode(rows).alias("id"))
-              .where(F.coalesce("id", F.lit("")) != ""))
+    rows = details.named_ids(details.rows_at(F.col("d"), "written_before_failure", "id:string"))
+    inline = (details.parsed(pending).select("segment", "seq", F.explode(rows).alias("id")))
     if records is not None:
         stored = records.where(F.col("source") == "settled").select("entry_id", "id")
         inline = inline.unionByName(
