@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from changeguard.operators.chains import verify_ledger
 from changeguard.operators.ledgers import audit_counts, ledger_filter
 from changeguard.operators.reconcile import SETTLING, entry_resolved
-from changeguard.sources.ledger_store import RECORD_SCHEMA, LedgerStore
+from changeguard.sources.ledger_store import RECORD_SCHEMA, LedgerStore, digests_by_entry
 
 
 def audit_pack(ledger: DataFrame, segments: DataFrame, **filters: str | None) -> tuple[DataFrame, DataFrame]:
@@ -30,18 +30,18 @@ def record_reconciliation(store: LedgerStore, verdicts: DataFrame, now: str) ->
         F.bool_or(F.col("verdict").isin(*SETTLING)).alias("resolved"), F.count("*").alias("records"))
     # the id follows from what is recorded, so a repeated task writes the same one
     name = F.sha2(F.concat_ws("|", F.lit("reconciled"), "segment", "seq", F.lit(now)), 256)
-    detail = F.to_json(F.struct(
-        F.col("segment").alias("resolves_segment"), F.col("seq").alias("resolves_seq"), "resolved",
-        F.col("basis").alias("verdict_basis"), "merge_state", "records", F.lit(now).alias("checked_at")),
-        {"ignoreNullFields": "false"})
-    entries = attempts.select(
-        name.alias("entry_id"), F.lit("reconciled").alias("outcome"), F.lit("reconcile_writes").alias("command"),
-        "module", F.lit(None).cast("string").alias("plan_key"), F.lit(now).cast("timestamp").alias("at"),
-        detail.alias("detail"))
     given = {"entry_id": name, "id": F.col("id"), "source": F.lit("verdicts"), "role": F.col("role"),
              "verdict": F.col("verdict")}
     records = judged.select(*[(given[f.name] if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
                               for f in RECORD_SCHEMA])
+    detail = F.to_json(F.struct(
+        F.col("segment").alias("resolves_segment"), F.col("seq").alias("resolves_seq"), "resolved",
+        F.col("basis").alias("verdict_basis"), "merge_state", "records", F.lit(now).alias("checked_at"),
+        F.col("digest").alias("records_digest")), {"ignoreNullFields": "false"})
+    entries = (attempts.withColumn("entry_id", name).join(digests_by_entry(records), "entry_id").select(
+        "entry_id", F.lit("reconciled").alias("outcome"), F.lit("reconcile_writes").alias("command"),
+        "module", F.lit(None).cast("string").alias("plan_key"), F.lit(now).cast("timestamp").alias("at"),
+        detail.alias("detail")))
     return store.append(entries, records=records)
 
 

@@ -45,6 +45,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return configure(spark)
 
 
+def size_shuffles(spark: SparkSession, *paths: str, partition_mb: int = 128) -> int:
+    """Give a job as many shuffle partitions as its input needs.
+
+    The default of 200 makes partitions of hundreds of gigabytes out of 100 TB.
+    Too many is harmless: AQE joins small ones together.  Returns the setting.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        total += target.getFileSystem(conf).getContentSummary(target).getLength()
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (partition_mb << 20)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage.
 

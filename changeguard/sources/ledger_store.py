@@ -65,6 +65,14 @@ def records_digest(records: DataFrame) -> str:
     return set_digest(flat, "records").head().digest
 
 
+def digests_by_entry(records: DataFrame) -> DataFrame:
+    """(entry_id, digest) of the record rows each entry owns, in one pass."""
+    hashed = records.select("entry_id", row_digest(records, RECORD_SCHEMA.fieldNames()).alias("_h"))
+    return (hashed.select("entry_id", *digest_words()).groupBy("entry_id")
+            .agg(F.count("*").alias("records"), *lane_sums())
+            .select("entry_id", combined("'records'").alias("digest")))
+
+
 class LedgerStore:
     def __init__(self, spark: SparkSession, path: str, segment_size: int = SEGMENT_SIZE):
         if not 1 <= segment_size <= SEGMENT_SIZE:
@@ -206,6 +214,16 @@ class LedgerStore:
         return (log.join(before, "number", "left").join(ends, "token", "left")
                 .select("number", why.isNull().alias("ok"), why.alias("why")))
 
+    def verify_records(self) -> DataFrame:
+        """Entries whose record rows are not the ones their digest was made of."""
+        stated = self.read().select("entry_id", F.get_json_object("detail", "$.records_digest").alias("stated"))
+        found = digests_by_entry(self.records())
+        why = (F.when(F.col("digest").isNull() & F.col("stated").isNotNull(), "records missing")
+               .when(F.col("stated").isNull() & F.col("digest").isNotNull(), "records without a digest")
+               .when(F.col("stated") != F.col("digest"), "records were changed"))
+        return (stated.join(found, "entry_id", "full").withColumn("why", why)
+                .where(F.col("why").isNotNull()).select("entry_id", "why"))
+
 
 def commit_head(commit: dict) -> str:
     body = "|".join([commit["prev"], str(commit["number"]), commit["token"], commit["segments_digest"]])

@@ -127,6 +127,7 @@ def test_an_unanswered_update_is_logged_and_reconciled(world, spark, monkeypatch
     attached = ledgers.attach_reconciled(ledgers.ledger_by_record(ledger, records), ledger, records)
     assert {r.verdict for r in attached.collect()} == {"landed" if landed else "not_landed"}
     assert chains.verify_ledger(ledger, world.ledger.segments()).head().intact
+    assert world.ledger.verify_records().count() == 0
 
 
 def test_delete(world, spark, tmp_path, monkeypatch):

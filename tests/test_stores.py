@@ -6,8 +6,9 @@ from pyspark.sql import types as T
 
 from changeguard.errors import DriftRefused
 from changeguard.operators import chains
+from changeguard.session import size_shuffles
 from changeguard.sources import commits, files, plan_store
-from changeguard.sources.ledger_store import LedgerStore, import_book, new_entry, records_of
+from changeguard.sources.ledger_store import LedgerStore, import_book, new_entry, records_digest, records_of
 from changeguard.sources.scrub import scrub
 from changeguard.sources.snapshots import SnapshotTable
 
@@ -67,6 +68,30 @@ def test_records_of_an_entry_are_kept_long(spark, tmp_path):
     assert store.records().where(F.col("entry_id") == entry["entry_id"]).count() == 50
 
 
+def test_record_rows_are_covered_by_their_entry(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    rows = spark.range(5).select(F.col("id").cast("string").alias("id"))
+    told, silent, lying = (new_entry("applied", "apply_update", "Leads", "k", NOW, {}) for _ in range(3))
+    owned = records_of(rows, told["entry_id"], "written")
+    told["detail"] = json.dumps({"records_digest": records_digest(owned)})
+    lying["detail"] = told["detail"]
+    parts = owned.unionByName(records_of(rows, silent["entry_id"], "written")).unionByName(
+        records_of(rows.where("id <> '3'"), lying["entry_id"], "written"))
+    store.append([told, silent, lying], records=parts)
+    assert {r.entry_id: r.why for r in store.verify_records().collect()} == {
+        silent["entry_id"]: "records without a digest", lying["entry_id"]: "records were changed"}
+
+
+def test_shuffles_are_sized_by_the_input(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    (tmp_path / "f").write_bytes(b"x" * (5 << 20))
+    try:
+        assert size_shuffles(spark, str(tmp_path), partition_mb=1) == 5
+        assert size_shuffles(spark, str(tmp_path), partition_mb=1024) == 5
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_import_book(spark, tmp_path):
     for i, name in enumerate(("a.json", "b.json")):
         (tmp_path / name).write_text(json.dumps({"chain_start": f"s{i}", "entries": [
