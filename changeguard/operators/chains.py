@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changeguard.session import checkpointed
+
 OUTCOMES = ("applied", "refused", "unresolved", "reconciled")
 SEGMENT_SIZE = 5000
 GENESIS = "sha256:" + "0" * 64
@@ -143,9 +145,11 @@ def verify_ledger(ledger: DataFrame, segments: DataFrame) -> DataFrame:
     """One row: is the whole ledger intact, where it breaks, and what it holds.
 
     ``verified`` counts the entries before the first break; everything after a
-    break cannot be trusted.
+    break cannot be trusted.  The segment verdicts, one row per segment, are
+    checkpointed: counting up to the break needs them twice, and the entries
+    should be hashed once.
     """
-    ends = verify_segments(verify_chain(ledger, segments), ledger, segments)
+    ends = checkpointed(verify_segments(verify_chain(ledger, segments), ledger, segments))
     where_broken = ends.agg(F.min(F.when(~F.col("ok"), F.col("segment"))).alias("b")).scalar()
     good = (F.when(F.col("b").isNull() | (F.col("segment") < F.col("b")), F.col("found"))
             .when(F.col("segment") == F.col("b"), F.coalesce(F.col("first_broken") - 1, F.lit(0)))
