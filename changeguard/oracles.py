@@ -472,6 +472,33 @@ ORACLES = {
         union all select 'deal-' || id, id, 'account-' || id, deal_stage from good where deal_id is not null
         union all select 'rejected', id, 'MANDATORY_NOT_FOUND', 'deal needs Stage' from asked
           where deal_id is not null and deal_stage is null""",
+    "g2_apply_update": f"""select id, case when priority = '1-URGENT' and stage = 'Qualification' then 'Closed Won'
+          else stage end stage, {iso(f"case when priority = '1-URGENT' and stage = 'Qualification' then timestamp '{NOW}' else modified_time end")}
+        modified_time from deals""",
+    "g2_ledger_records": f"""select module, id, 'applied' as outcome, {iso(f"timestamp '{NOW}'")} as written from deals
+        where priority = '1-URGENT' and stage = 'Qualification'""",
+    "g3_apply_delete": "select id, stage from deals where amount >= 50000",
+    "g4_apply_handover": """select 'Deals' as module, id, case when owner_id = '7' and stage = 'Qualification' then '8'
+          else owner_id end owner_id from deals
+        union all select 'Accounts', id, case when owner_id = '7' then '8' else owner_id end from accounts""",
+    "g5_apply_merge": """with kids as (select coalesce(p.master_id, o_custkey::varchar) id, count(*) n
+          from orders left join pairs p on p.loser_id = o_custkey::varchar group by 1)
+        select m.id, m."Full_Name", coalesce(m."Balance", l."Balance")::varchar as "Balance",
+          case when m."Country" = '' and l."Country" <> '' then l."Country" else m."Country" end as "Country", k.n as children
+        from parties m left join pairs p on p.master_id = m.id left join parties l on l.id = p.loser_id
+        left join kids k on k.id = m.id where m.id not in (select loser_id from pairs)""",
+    "g7_apply_rollback": "select id, stage from deals",
+    "p6_ignorable_field": """select 'id' as field, count(*) cells, 0::bigint blanks, true as ignorable from parties
+        union all select 'Created_Time', count(*), 0, true from parties
+        union all select 'Full_Name', count(*), 0, false from parties
+        union all select 'Industry', count(*), 0, false from parties
+        union all select 'Balance', count(*), count(*) filter ("Balance" is null), false from parties
+        union all select 'Country', count(*), count(*) filter ("Country" = ''), false from parties""",
+    "p11_usable_written": """select batch, row_id, part, case when l_linestatus = 'F' then 1 else 0 end::bigint usable
+        from results where code = 'SUCCESS'""",
+    "f9_moved": f"""select d.id, n.modified_time <> d.modified_time moved, true as valid,
+        'Deals:' || d.id || ':' || coalesce({iso('n.modified_time')}, 'unreadable') change_ref
+        from deals d left join deals_now n on n.id = d.id""",
     "m7_notes": """select doc_id::varchar parent_id, -1::bigint turn, length(text) as length, md5(text) as md5 from documents
         union all select parent_id, turn, length(body), md5(body) from (select conv_id::varchar parent_id, turn,
           left(regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', ''), 32000) body from conversations)
@@ -479,6 +506,12 @@ ORACLES = {
 }
 
 
+# an applied upsert leaves the table that the plain upsert computes
+ORACLES["g6_apply_upsert"] = ORACLES["m3_upsert"].replace(
+    "select * from kept union all select * from made",
+    "select id, code, email, stage from kept union all select id, code, email, stage from made")
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _compose(body) for name, body in ORACLES.items()}
 

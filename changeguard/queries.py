@@ -11,11 +11,12 @@ from changeguard import views as V
 from changeguard.functions import details, scalars
 from changeguard.operators import (chains, changes, custody, fingerprints, ledgers, matching, mutations, quality,
                                    reconcile, scans)
-from changeguard.plans import audit, handover, upsert
+from changeguard.plans import audit, delete, handover, merge, rollback, update, upsert
 from changeguard.session import configure, shared_folder
 from changeguard.sources import scrub as scrubbing
 from changeguard.sources.ledger_store import LedgerStore
 from changeguard.sources.plan_store import live_plans
+from changeguard.sources.snapshots import SnapshotTable
 from changeguard.streaming import change_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -711,3 +712,111 @@ def m7_notes(s, d):
     fresh = talk.select(V.text("conv_id").alias("parent_id"), "turn", F.col("text").alias("content"))
     out = mutations.add_notes(notes, fresh)
     return out.select("parent_id", "turn", F.length("content").cast("bigint").alias("length"), F.md5("content").alias("md5"))
+
+
+# --- plan to apply ----------------------------------------------------------
+
+def _world(s, **tables: DataFrame):
+    """Snapshot tables and an empty ledger in a new shared folder."""
+    folder = shared_folder(s, "world")
+    made = {m: SnapshotTable.create(df, f"{folder}/{m}", m) for m, df in tables.items()}
+    return made, LedgerStore(s, f"{folder}/ledger")
+
+
+def _updated(s, d):
+    tables, ledger = _world(s, Deals=V.deals(s, d))
+    where, change = "priority = '1-URGENT' and stage = 'Qualification'", {"stage": "Closed Won"}
+    plan = update.plan_update(tables["Deals"].read(), "Deals", where, change)
+    update.apply_update(plan, tables["Deals"], ledger, where, change, V.NOW)
+    return plan, tables["Deals"], ledger
+
+
+@query
+def g2_apply_update(s, d):
+    _, table, _ = _updated(s, d)
+    return table.read().select("id", "stage", iso("modified_time").alias("modified_time"))
+
+
+@query
+def g2_ledger_records(s, d):
+    """What the ledger holds about every record an update wrote."""
+    _, _, ledger = _updated(s, d)
+    return ledgers.ledger_by_record(ledger.read(), ledger.records()).select(
+        "module", "id", "outcome", iso("written_time").alias("written"))
+
+
+@query
+def g3_apply_delete(s, d):
+    tables, ledger = _world(s, Deals=V.deals(s, d))
+    plan = delete.plan_delete(tables["Deals"].read(), "Deals", "amount < 50000")
+    delete.apply_delete(plan, tables["Deals"], ledger, "amount < 50000", V.NOW)
+    return tables["Deals"].read().select("id", "stage")
+
+
+@query
+def g4_apply_handover(s, d):
+    tables, ledger = _world(s, Deals=V.deals(s, d), Accounts=V.accounts(s, d))
+    plan = handover.plan_handover({m: t.read() for m, t in tables.items()}, V.users(s, d), "7", "8")
+    handover.apply_handover(plan, tables, ledger, V.NOW)
+    return scans.union_modules({m: t.read().select("id", "owner_id") for m, t in tables.items()})
+
+
+@query
+def g5_apply_merge(s, d):
+    notes = V.table(s, d, "orders").select(V.text("o_orderkey").alias("id"), V.text("o_custkey").alias("parent_id"))
+    people = _parties(s, d).withColumn("modified_time", F.lit("1999-01-01").cast("timestamp"))
+    tables, ledger = _world(s, Contacts=people, Notes=notes)
+    pairs = V.merge_pairs(s, d)
+    kids = {"Notes": tables["Notes"]}
+    shown = {"Notes": tables["Notes"].read().withColumn("title", F.col("id"))}
+    plan = merge.plan_merge(tables["Contacts"].read(), "Contacts", shown, pairs)
+    merge.apply_merge(plan, tables["Contacts"], kids, pairs, ledger, V.NOW)
+    children = tables["Notes"].read().groupBy(F.col("parent_id").alias("id")).agg(F.count("*").alias("children"))
+    return tables["Contacts"].read().join(children, "id", "left").select(
+        "id", "Full_Name", F.col("Balance").cast("string").alias("Balance"), "Country", "children")
+
+
+@query
+def g6_apply_upsert(s, d):
+    tables, ledger = _world(s, Deals=V.upsert_existing(s, d))
+    incoming, fields = V.upsert_in(s, d), ["code", "email"]
+    plan = upsert.plan_upsert(tables["Deals"].read(), "Deals", incoming, fields)
+    upsert.apply_upsert(plan, tables["Deals"], ledger, incoming, fields, [*fields, "stage"], V.NOW)
+    return tables["Deals"].read().select("id", "code", "email", "stage")
+
+
+@query
+def g7_apply_rollback(s, d):
+    plan, table, ledger = _updated(s, d)
+    back = rollback.plan_rollback(ledger.read(), ledger.records(), table.read(), "Deals", plan.key)
+    rollback.apply_rollback(back, table, ledger, V.NOW)
+    return table.read().select("id", "stage")
+
+
+# --- scalar rules over whole tables -----------------------------------------
+
+@query
+def p6_ignorable_field(s, d):
+    people = _parties(s, d)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), scalars.is_blank(people, c).alias("blank"))
+                                for c in people.columns]))
+    return (people.select(cells.alias("c")).select("c.*").groupBy("field")
+            .agg(F.count("*").alias("cells"), F.count_if("blank").alias("blanks"))
+            .withColumn("ignorable", scalars.ignorable_field("field")))
+
+
+@query
+def p11_usable_written(s, d):
+    """Rows of each write batch that a later scan can match."""
+    rows = _results(s, d).where("code = 'SUCCESS'")
+    kept = scalars.usable_written(F.array(F.struct("id", "modified_time")))
+    return rows.select("batch", "row_id", "part", F.size(F.coalesce(kept, F.array().cast(
+        "array<struct<id:string,modified_time:string>>"))).cast("bigint").alias("usable"))
+
+
+@query
+def f9_moved(s, d):
+    now = V.deals_now(s, d).select("id", F.col("modified_time").alias("now"))
+    return V.deals(s, d).join(now, "id", "left").select(
+        "id", scalars.moved("modified_time", "now").alias("moved"), scalars.valid_id("id").alias("valid"),
+        scalars.change_ref("module", "id", "now").alias("change_ref"))
