@@ -3,7 +3,8 @@
 A commit is one small file, created only if it does not exist yet.  Data files
 written before it are invisible until it is there, so a job that dies in
 between leaves nothing behind that a reader would see, and of two writers that
-started from the same state one is told it lost.
+started from the same state one is told it lost.  A file that is still empty is
+a commit under way: readers pass over it, and the next writer is refused.
 """
 
 from __future__ import annotations
@@ -53,10 +54,11 @@ def names(spark: SparkSession, folder: str) -> list[str]:
 
 def last(spark: SparkSession, folder: str) -> dict | None:
     """Content of the newest commit; older ones are not opened."""
-    found = names(spark, folder)
-    if not found:
-        return None
-    return json.loads(spark.read.text(f"{folder}/{found[-1]}", wholetext=True).head().value)
+    for name in reversed(names(spark, folder)):
+        row = spark.read.text(f"{folder}/{name}", wholetext=True).head()
+        if row is not None and row.value:
+            return json.loads(row.value)
+    return None
 
 
 def read_all(spark: SparkSession, folder: str) -> list[dict]:
@@ -64,7 +66,7 @@ def read_all(spark: SparkSession, folder: str) -> list[dict]:
     if not exists(spark, folder):
         return []
     rows = spark.read.text(folder, wholetext=True).select("value", "_metadata.file_name").collect()
-    return [json.loads(row.value) for row in sorted(rows, key=lambda r: r.file_name)]
+    return [json.loads(row.value) for row in sorted(rows, key=lambda r: r.file_name) if row.value]
 
 
 def table(spark: SparkSession, folder: str, schema: str) -> DataFrame:

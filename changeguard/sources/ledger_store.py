@@ -240,9 +240,9 @@ def import_book(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
              "detail:variant, prev:string, entry_hash:string>")
     books = (spark.read.option("multiLine", True).schema(f"chain_start string, entries array<{entry}>").json(path)
              .select("chain_start", "entries", F.col("_metadata.file_name").alias("_file")))
-    names = sorted(row._file for row in books.select("_file").distinct().limit(1_000_000).collect())
-    number = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
-    numbered = books.withColumn("segment", F.element_at(number, F.col("_file")).cast("bigint"))
+    # one row per file, so the numbering join stays far smaller than the books
+    order = dense_index(books.select("_file").distinct(), ["_file"], "segment")
+    numbered = books.join(order.withColumn("segment", F.col("segment").cast("bigint")), "_file")
     rows = numbered.select("segment", "chain_start", F.posexplode("entries").alias("pos", "e"))
     entries = rows.select(
         "segment", (F.col("pos") + 1).cast("bigint").alias("seq"),
