@@ -61,21 +61,36 @@ def size_shuffles(spark: SparkSession, *paths: str, partition_mb: int = 128) ->
     return wanted
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+def _shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; a
-    private one is made only where that setting is absent (tests).
+    Only a local master, where there is one machine, may do without the
+    setting; on a cluster a private folder would lose rows.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return tempfile.mkdtemp(prefix="changeguard-")
+    raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and cut its lineage."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="changeguard-checkpoint-"))
+        context.setCheckpointDir(_shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for this run, beside the cluster's shared checkpoints."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="changeguard-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back: lineage is cut there."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
