@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeguard.llm import exactdup
+from changeguard.llm import exactdup, secret_scan
 from changeguard.llm.text import table
 
 
@@ -13,7 +13,22 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdup.exact_copies(table(spark, folder, "documents")).withColumnRenamed("digest", "text_sha256")
 
 
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return secret_scan.find_secrets(table(spark, folder, "documents")).select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(F.encode(secret_scan.span_text(F.col("base")), "utf-8"), 256).alias("base_sha256"),
+        secret_scan.span_text(F.concat("base", "bare")).alias("spans"),
+        "n_live",
+        "n_shared",
+    )
+
+
 QUERIES = {
+    "op10_secret_scan": op10_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
 }
 
