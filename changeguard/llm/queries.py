@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeguard.llm import exactdup, secret_scan
+from changeguard.llm import decontaminate, exactdup, secret_scan
 from changeguard.llm.text import table
 
 
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.encode(F.concat_ws(",", "items"), "utf-8"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdup.exact_copies(table(spark, folder, "documents")).withColumnRenamed("digest", "text_sha256")
 
@@ -28,6 +40,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
     "op10_secret_scan": op10_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
 }
