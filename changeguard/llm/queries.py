@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeguard.llm import decontaminate, exactdup, secret_scan
+from changeguard.llm import decontaminate, exactdup, neardup, secret_scan
 from changeguard.llm.text import table
 
 
@@ -21,6 +21,10 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_groups(table(spark, folder, "documents")).drop("digest")
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdup.exact_copies(table(spark, folder, "documents")).withColumnRenamed("digest", "text_sha256")
 
@@ -42,6 +46,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op10_secret_scan": op10_secret_scan,
+    "op3_near_dedup": op3_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
 }
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +46,41 @@ def words(text: bytes) -> list[bytes]:
 def byte_texts(column: pa.Array) -> list[bytes]:
     """An Arrow text column as UTF-8 bytes; null as an empty text."""
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, kept for the words met last; the same in every process."""
+
+    LIMIT = 400_000
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+WORD_HASHES = WordHashes()
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    found = words(text)
+    return np.fromiter(map(WORD_HASHES.__getitem__, found), np.uint64, len(found))
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Spread 64-bit hashes over all bits (an invertible xor-shift and multiply step)."""
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    return (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+
+
+def shingles(hashes: np.ndarray, size: int = 5) -> np.ndarray:
+    """Hashes of all runs of ``size`` words in order; fewer words, but not none, are one shingle."""
+    if not len(hashes):
+        return hashes
+    size = min(size, len(hashes))
+    count = len(hashes) - size + 1
+    out = np.zeros(count, np.uint64)
+    for i in range(size):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + count]
+    return mixed(out + np.uint64(size))
