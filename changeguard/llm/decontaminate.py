@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 from changeguard.llm.text import byte_texts, words
 
 WINDOW = 10
-SHARD_BYTES = 48 << 20
+SHARD_BYTES = 24 << 20
 SAMPLE = 8  # every so many text positions keep their suffix position
 BLOCK_BYTES = 4 << 20  # of phrases that go to the tasks at once
 END, GAP, FIRST = 0, 1, 2  # symbols: end of shard, between runs, first word
@@ -70,14 +71,14 @@ class WaveletMatrix:
         self.planes = []
         for level in reversed(range(levels)):
             bit = (symbols >> level) & 1
-            ones = np.concatenate(([0], np.cumsum(bit, dtype=np.int64)))
+            ones = np.concatenate(([0], np.cumsum(bit, dtype=np.int32)), dtype=np.int32)
             zeros = len(symbols) - int(ones[-1])
             self.planes.append((level, ones, zeros))
             symbols = np.concatenate((symbols[bit == 0], symbols[bit == 1]))
 
     def rank(self, symbol: np.ndarray, before: np.ndarray) -> np.ndarray:
         """How often each symbol stands in front of each position."""
-        low, high = np.zeros_like(before), before
+        low, high = np.zeros(len(before), np.int64), before.astype(np.int64)
         for level, ones, zeros in self.planes:
             one = ((symbol >> level) & 1).astype(bool)
             low1, high1 = ones[low], ones[high]
@@ -109,7 +110,7 @@ class FMIndex:
         self.tree = WaveletMatrix(text[suffixes - 1], levels)
         kept = suffixes % SAMPLE == 0
         self.kept = kept
-        self.kept_rank = np.concatenate(([0], np.cumsum(kept)))
+        self.kept_rank = np.concatenate(([0], np.cumsum(kept, dtype=np.int32)))
         self.samples = suffixes[kept]
         self.symbols = 1 << levels
 
@@ -157,47 +158,51 @@ class Phrases:
         self.rows = np.full((len(owners), int(self.lengths.max(initial=1))), END, np.int64)
         for k, phrase in enumerate(owners):
             self.rows[k, : len(phrase)] = [self.symbol[w] for w in reversed(phrase)]
-        self.shortest = int(self.lengths.min(initial=1))
+        self.shortest = int(self.lengths.min()) if len(self.lengths) else 1
 
 
-def _runs(ids: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of known words that are long enough to hold a phrase."""
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], (ids > 0).view(np.int8), [0]))))
+def _reduced(ids: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of known words long enough to hold a phrase, each with a gap after it, and where they stood.
+
+    ``ids`` are 0 for unknown words and after each document.
+    """
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], (ids > 0).view(np.int8)))))
     start, end = edge[::2], edge[1::2]
     fits = end - start >= shortest
-    return start[fits], end[fits]
+    turn = np.zeros(len(ids) + 1, np.int8)
+    turn[start[fits]] += 1
+    turn[end[fits] + 1] -= 1  # a run may begin right after the gap of the one before
+    kept = np.flatnonzero(np.cumsum(turn[:-1], dtype=np.int8))
+    return np.where(ids[kept] > 0, ids[kept], GAP), kept
 
 
 def shard_hits(texts: list[bytes], phrases: Phrases) -> tuple[list[int], list[np.ndarray], list[list[str]]]:
     """For each text: its number of words, its merged hit spans (rows of first and past-last word), its items."""
     known = phrases.symbol.get
-    counts, parts, origin, total = [], [], [], 0
+    counts, parts = [], []
     for text in texts:
         found = words(text)
         counts.append(len(found))
-        ids = np.array([known(w, 0) for w in found], np.int32)
-        for start, end in zip(*_runs(ids, phrases.shortest)):
-            parts += [ids[start:end], [GAP]]
-            origin += [np.arange(total + start, total + end), [-1]]
-        total += len(found)
+        parts.append(np.fromiter((known(w, 0) for w in found), np.int32, len(found)))
+        parts.append(np.zeros(1, np.int32))
     spans, items = [np.empty((0, 2), np.int64)] * len(texts), [[] for _ in texts]
-    if not parts or not phrases.items:
+    reduced, origin = _reduced(np.concatenate(parts), phrases.shortest) if parts else (np.empty(0, np.int32), None)
+    if not len(reduced) or not phrases.items:
         return counts, spans, items
-    index = FMIndex(np.concatenate([*parts, [END]]))
-    origin = np.concatenate([*origin, [-1]]).astype(np.int64)
+    index = FMIndex(np.append(reduced, END))
     low, high = index.search(phrases.rows, phrases.lengths)
     many = high - low
     which = np.repeat(np.arange(len(many)), many)
     rows = np.repeat(low - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
     at = origin[index.locate(rows)]
-    borders = np.concatenate(([0], np.cumsum(counts)))
+    borders = np.concatenate(([0], np.cumsum(np.array(counts) + 1)))
     doc = np.searchsorted(borders, at, side="right") - 1
-    cover = np.zeros(total + 1, np.int32)
+    cover = np.zeros(int(borders[-1]) + 1, np.int32)
     np.add.at(cover, at, 1)
     np.add.at(cover, at + phrases.lengths[which], -1)
-    hit = np.cumsum(cover[:-1]) > 0
+    hit = np.cumsum(cover) > 0
     for d in np.unique(doc):
-        inside = hit[borders[d] : borders[d + 1]].view(np.int8)
+        inside = hit[borders[d] : borders[d + 1] - 1].view(np.int8)
         spans[d] = np.flatnonzero(np.diff(np.concatenate(([0], inside, [0])))).reshape(-1, 2)
     pairs = np.unique(doc * len(many) + which)
     for d, k in zip(pairs // len(many), pairs % len(many)):
@@ -216,35 +221,29 @@ HITS = T.StructType(
 ARROW_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
+def _shards(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``SHARD_BYTES`` of text, each at least one row."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+    borders = np.flatnonzero(np.diff(size // SHARD_BYTES)) + 1
+    for start, end in zip([0, *borders], [*borders, batch.num_rows]):
+        yield batch.slice(start, end - start)
+
+
 def _search(batches: Iterator[pa.RecordBatch], text: str, items: list[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
-    phrases, held, size = Phrases(items), [], 0
-
-    def emit():
-        texts = [t for b in held for t in byte_texts(b.column(text))]
-        counts, spans, found = shard_hits(texts, phrases)
-        at = 0
-        for b in held:
-            cut = slice(at, at + b.num_rows)
-            at += b.num_rows
+    phrases = Phrases(items)
+    for batch in batches:
+        for shard in _shards(batch, text):
+            counts, spans, found = shard_hits(byte_texts(shard.column(text)), phrases)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *b.columns,
-                    pa.array(counts[cut], pa.int64()),
-                    pa.array([[{"start": int(x), "end": int(y)} for x, y in s] for s in spans[cut]], ARROW_SPANS),
-                    pa.array(found[cut], pa.list_(pa.string())),
+                    *shard.columns,
+                    pa.array(counts, pa.int64()),
+                    pa.array([[{"start": int(x), "end": int(y)} for x, y in s] for s in spans], ARROW_SPANS),
+                    pa.array(found, pa.list_(pa.string())),
                 ],
-                names=[*b.schema.names, *HITS.names],
+                names=[*shard.schema.names, *HITS.names],
             )
 
-    for batch in batches:
-        held.append(batch)
-        size += batch.column(text).nbytes
-        if size >= SHARD_BYTES:
-            yield from emit()
-            held, size = [], 0
-    if held:
-        yield from emit()
-
 
 def _blocks(benchmark: DataFrame, text: str, item: str) -> Iterator[list[tuple[str, str]]]:
     """The benchmark in blocks of a bounded number of bytes, each at least one item."""
