@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeguard.llm import decontaminate, exactdup, neardup, secret_scan
+from changeguard.llm import decontaminate, exactdup, neardup, secret_scan, toxicity
 from changeguard.llm.text import table
 
 
@@ -43,8 +43,20 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    score = F.col("__toxic")
+    return toxicity.with_scores(docs, table(spark, folder, "labels")).select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id"), 3) == 1).alias("held_out"),
+        score.alias("score"),
+        F.when(score >= toxicity.REJECT, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
     "op3_near_dedup": op3_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
