@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeguard.llm import decontaminate, exactdup, neardup, secret_scan, toxicity
+from changeguard.llm import decontaminate, exactdup, neardup, packing, secret_scan, toxicity
 from changeguard.llm.text import table
 
 
@@ -25,6 +25,12 @@ def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_groups(table(spark, folder, "documents")).drop("digest")
 
 
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdup.exact_copies(table(spark, folder, "documents")).withColumnRenamed("digest", "text_sha256")
 
@@ -59,6 +65,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
     "op3_near_dedup": op3_near_dedup,
+    "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
 }
 
