@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeguard.llm import decontaminate, exactdup, html_text, neardup, packing, secret_scan, toxicity
+from changeguard.llm import decontaminate, exactdup, html_text, language_model, neardup, packing, secret_scan, toxicity
 from changeguard.llm.text import table
 
 
@@ -49,6 +49,10 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score_texts(table(spark, folder, "documents"))
+
+
 def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages")).select(
         "page_id", "url", F.col("__text").alias("text"), F.length("__text").cast("long").alias("n_chars")
@@ -68,6 +72,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op7_language_model": op7_language_model,
     "op8_html_text": op8_html_text,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
