@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeguard.llm import decontaminate, exactdup, html_text, language_model, neardup, packing, secret_scan, toxicity
+from changeguard.llm import decontaminate, exactdup, html_text, language_model, neardup, packing, paragraphs, secret_scan, toxicity
 from changeguard.llm.text import table
 
 
@@ -31,6 +31,10 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeats(table(spark, folder, "documents")).drop("digest")
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdup.exact_copies(table(spark, folder, "documents")).withColumnRenamed("digest", "text_sha256")
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
     "op3_near_dedup": op3_near_dedup,
     "op4_packing": op4_packing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
 }
 
