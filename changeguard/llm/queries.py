@@ -5,10 +5,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeguard.llm import decontaminate, exactdup, html_text, language_model, neardup, packing, paragraphs, secret_scan, toxicity
+from changeguard.llm import decontaminate, exactdup, html_text, language_model, neardup, packing, paragraphs, secret_scan, toxicity, warc
 from changeguard.llm.text import table
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Web archive records from ``pages``: each page as a response, and a revisit of it some hundred captures later.
+
+    Record ids are twice the page id, and one more for the revisit.  The
+    revisit asks with the page's own entity tag, so it resolves only if its
+    URL has not been captured with other content in between.
+    """
+    tag = F.concat(F.lit('"'), F.substring(F.md5(F.encode("html", "utf-8")), 1, 16), F.lit('"'))
+    at = lambda seconds: F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") * 60 + seconds)
+    kind = "map<string,string>"
+    full = pages.select(
+        (F.col("page_id") * 2).alias("record_id"),
+        "url",
+        at(0).alias("date"),
+        F.lit(True).alias("is_full"),
+        F.lit(200).alias("status"),
+        F.create_map(
+            F.lit("content-type"), F.lit("text/html"), F.lit("etag"), tag,
+            F.lit("content-length"), F.octet_length("html").cast("string"),
+        ).cast(kind).alias("headers"),
+        F.md5(F.encode("html", "utf-8")).alias("payload_digest"),
+    )
+    revisit = pages.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"),
+        "url",
+        at(30_030).alias("date"),
+        F.lit(False).alias("is_full"),
+        F.lit(304).alias("status"),
+        F.create_map(
+            F.lit("etag"), F.concat(F.lit("W/"), tag), F.lit("content-length"), F.lit("0"), F.lit("expires"), F.lit("0"),
+        ).cast(kind).alias("headers"),
+        F.lit(None).cast("string").alias("payload_digest"),
+    )
+    return full.unionByName(revisit)
+
+
+def op1_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda h: F.concat(h["key"], F.lit("="), h["value"]))
+    return warc.resolve_revisits(captures(table(spark, folder, "pages"))).select(
+        F.floor((F.col("record_id") - 1) / 2).cast("long").alias("page_id"),
+        "canonical_url",
+        F.floor(F.col("refers_to") / 2).cast("long").alias("refers_to"),
+        "outcome",
+        F.coalesce("status", F.lit(304)).alias("status"),
+        "payload_digest",
+        F.array_join(lines, "|").alias("headers"),
+    )
+
+
 def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -75,6 +124,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_revisits": op1_warc_revisits,
     "op2_decontaminate": op2_decontaminate,
     "op7_language_model": op7_language_model,
     "op8_html_text": op8_html_text,
@@ -89,6 +139,38 @@ QUERIES = {
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    "op1_warc_revisits": r"""
+        with cut as (
+            select page_id, html,
+                regexp_replace(regexp_replace(trim(url), '#.*$', '', 's'), '^[A-Za-z][A-Za-z0-9+.-]*://', '') as rest
+            from pages
+        ), parts as (
+            select page_id, html,
+                regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), ':(80|443)$', ''), '^www\.', '') as host,
+                regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/$', '') as path,
+                list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1, 's'), '&'),
+                    lambda p: p <> '' and not regexp_matches(p, '^(utm_[^=]*|gclid|fbclid|ref)(=.*)?$'))) as pairs
+            from cut
+        ), named as (
+            select page_id, html, md5(html) as digest,
+                host || path || case when len(pairs) > 0 then '?' || array_to_string(pairs, '&') else '' end as canonical_url
+            from parts
+        ), last as (
+            select v.page_id, v.canonical_url, v.digest, v.html,
+                max(f.page_id) as refers_to
+            from named v left join named f on f.canonical_url = v.canonical_url and f.page_id * 60 < v.page_id * 60 + 30030
+            group by all
+        )
+        select l.page_id, l.canonical_url, l.refers_to,
+            case when l.refers_to is null then 'missing'
+                when substr(l.digest, 1, 16) = substr(f.digest, 1, 16) then 'resolved' else 'changed' end as outcome,
+            case when substr(l.digest, 1, 16) = substr(f.digest, 1, 16) then 200 else 304 end as status,
+            case when substr(l.digest, 1, 16) = substr(f.digest, 1, 16) then f.digest end as payload_digest,
+            case when substr(l.digest, 1, 16) = substr(f.digest, 1, 16) then
+                'content-length=' || octet_length(encode(f.html)) || '|content-type=text/html|etag=W/"'
+                || substr(l.digest, 1, 16) || '"|expires=0' end as headers
+        from last l left join named f on f.page_id = l.refers_to
+    """,
     "op6_exact_dedup": f"""
         select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
             doc_id = max(doc_id) over g as kept, sha256(norm) as text_sha256

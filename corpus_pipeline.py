@@ -4,21 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeguard.llm import exactdup
+from changeguard.llm import decontaminate, exactdup, neardup, packing, toxicity
 from changeguard.session import written
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on labelled rows of ``docs``, does not reject."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the largest id."""
     return exactdup.drop_copies(docs)
 
 
-STAGES = [("exact_dedup", exact)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the document with the least id."""
+    return neardup.drop_near_copies(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, neighbours on the curve beside each other."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", not_toxic),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontaminated),
+    ("packing", packed),
+]
 
-# The stages learn models and tokenise; SQL cannot express them.
+# A learned classifier, sampled hashes and a tokenizer: SQL cannot express the stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each is written to the shared folder and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
