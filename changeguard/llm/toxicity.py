@@ -22,8 +22,8 @@ from changeguard.llm.text import byte_texts, words
 from changeguard.session import written
 
 MAX_ROWS = 10_000  # labelled rows of each class that the classifier is fitted on, drawn by hash
-MAX_WORDS = 100_000  # words that the models know by themselves; others share one entry
-MAX_BIGRAMS = 300_000  # seen twice or more
+MAX_WORDS = 60_000  # words that the models know by themselves; others share one entry
+MAX_BIGRAMS = 100_000  # seen twice or more
 DISCOUNT = 0.75
 EVIDENCE = 5.0  # pooled counts at which half of a ratio is believed
 WINDOW = 6  # words
@@ -82,6 +82,18 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from emit()
 
 
+def most_frequent(rows: DataFrame, size: str, most: int) -> DataFrame:
+    """At most ``most`` of ``rows``: all above the least frequency that keeps to that, found from a histogram."""
+    steps = rows.groupBy(F.least(F.col(size), F.lit(5000)).alias("n")).count().orderBy(F.desc("n")).collect()
+    total, floor = 0, 5001
+    for step in steps:
+        total += step["count"]
+        if total > most:
+            break
+        floor = step["n"]
+    return rows.filter(F.col(size) >= floor)
+
+
 @dataclass
 class Ratio:
     """Log-likelihood ratios (toxic to ordinary) of words after words, and how to turn them into a score."""
@@ -157,13 +169,10 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     totals = into.agg(F.sum("k0"), F.sum("k1"), F.sum("k"), F.count_if(F.col("k0") > 0), F.count_if(F.col("k1") > 0), F.count(F.lit(1))).first()
     if not totals[5]:
         return empty
-    known = (
-        into.join(after, "w", "full").na.fill(0).withColumn("size", F.greatest(F.col("n0") + F.col("n1"), F.col("k")))
-        .orderBy(F.desc("size"), "w").limit(MAX_WORDS).toPandas()
-    )
-    many = (
-        pairs.filter("n0 + n1 > 1").orderBy(F.desc(F.col("n0") + F.col("n1")), "before", "word").limit(MAX_BIGRAMS).toPandas()
-    )
+    sized = into.join(after, "w", "full").na.fill(0).withColumn("size", F.greatest(F.col("n0") + F.col("n1"), F.col("k")))
+    known = most_frequent(written(sized, "known"), "size", MAX_WORDS).toPandas()
+    often = pairs.withColumn("size", F.col("n0") + F.col("n1")).filter("size > 1")
+    many = most_frequent(often, "size", MAX_BIGRAMS).toPandas()
     count = {c: np.concatenate(([0.0], known[c].to_numpy(float))) for c in ("n0", "n1", "t0", "t1", "k0", "k1", "k")}
     shared = (count["k"] + 1) / (totals[2] + totals[5] + 1)
     lower = {}
