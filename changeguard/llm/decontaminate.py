@@ -42,7 +42,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for i in range(width):
         key <<= bits
-        key[: n - i] |= text[i:]
+        key[: max(0, n - i)] |= text[i:]
     order = np.argsort(key, kind="stable")
     rank = np.empty(n, np.int64)
     start = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
