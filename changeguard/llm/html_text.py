@@ -76,10 +76,13 @@ class Page:
         return "\n".join(text for i, text, _ in self.blocks if good[i])
 
     def scores(self) -> list[float]:
-        """Share of the page's text, without links; articles and deeper containers win ties."""
+        """Share of the page's text, without links; articles and inner containers win over small losses."""
         whole = max(1, self.containers[0].text)
         return [
-            (c.text - c.linked) / whole + (0.1 if c.tag in ("article", "main") else 0) + 0.02 * min(c.depth, 10)
+            (c.text - c.linked) / whole
+            + (0.2 if c.depth else 0)
+            + (0.1 if c.tag in ("article", "main") else 0)
+            + 0.02 * min(c.depth, 10)
             for c in self.containers
         ]
 

@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeguard.llm.text import byte_texts
+from changeguard.llm.text import byte_texts, most_frequent
 from changeguard.session import written
 
 FOLDS, HELD_OUT = 7, 2
 WORDS, CLASSES = 768, 256  # symbols: the end of a text, the most frequent words, classes by ending
-NEAR_WORDS = 250_000  # words whose counts go to the tasks; all others get theirs by a join
+NEAR_WORDS = 150_000  # words whose counts go to the tasks; all others get theirs by a join
 DIMS, NOISE, STEPS, RATE = 48, 10, 250, 0.05
 END = b""  # no word is empty
 
@@ -87,7 +87,7 @@ class Symbols:
 
 
 def symbols(vocabulary: DataFrame) -> Symbols:
-    near = vocabulary.orderBy(F.desc("n"), "word").limit(NEAR_WORDS).toPandas()
+    near = most_frequent(vocabulary, "n", NEAR_WORDS).toPandas().sort_values(["n", "word"], ascending=[False, True])
     words = [bytes(w) for w in near["word"]]
     n, place_of = near["n"].to_numpy(np.float64), near["ending"].to_numpy(np.int64)
     own = np.zeros(len(words), bool)

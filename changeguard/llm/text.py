@@ -84,3 +84,18 @@ def shingles(hashes: np.ndarray, size: int = 5) -> np.ndarray:
     for i in range(size):
         out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + count]
     return mixed(out + np.uint64(size))
+
+
+def most_frequent(rows: DataFrame, size: str, most: int) -> DataFrame:
+    """At most ``most`` of ``rows``: all above a frequency that keeps to that, found from a histogram.
+
+    The histogram has 32 steps for each doubling, so about two thousand at any size.
+    """
+    step = F.floor(F.log2(F.col(size)) * 32)
+    total, floor = 0, None
+    for found in rows.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        total += found["count"]
+        if total > most:
+            break
+        floor = found["step"]
+    return rows.filter(step >= floor) if floor is not None else rows.limit(0)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeguard.llm.text import byte_texts, words
+from changeguard.llm.text import byte_texts, most_frequent, words
 from changeguard.session import written
 
 MAX_ROWS = 10_000  # labelled rows of each class that the classifier is fitted on, drawn by hash
@@ -82,18 +82,6 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from emit()
 
 
-def most_frequent(rows: DataFrame, size: str, most: int) -> DataFrame:
-    """At most ``most`` of ``rows``: all above the least frequency that keeps to that, found from a histogram."""
-    steps = rows.groupBy(F.least(F.col(size), F.lit(5000)).alias("n")).count().orderBy(F.desc("n")).collect()
-    total, floor = 0, 5001
-    for step in steps:
-        total += step["count"]
-        if total > most:
-            break
-        floor = step["n"]
-    return rows.filter(F.col(size) >= floor)
-
-
 @dataclass
 class Ratio:
     """Log-likelihood ratios (toxic to ordinary) of words after words, and how to turn them into a score."""
@@ -105,6 +93,7 @@ class Ratio:
     centre: np.ndarray = field(default_factory=lambda: np.zeros(3))
     scale: np.ndarray = field(default_factory=lambda: np.ones(3))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
+    share: float = 0.0  # of toxic texts, the score of a text without words
 
     def features(self, text: bytes) -> tuple[float, float, float]:
         """Mean ratio of the text, mean ratio of its most toxic window, highest backed-off ratio of one word."""
@@ -112,7 +101,7 @@ class Ratio:
         found = words(text)
         at = np.fromiter((get(w, 0) for w in found), np.int64, len(found))
         if not len(at):
-            return 0.0, 0.0, 0.0
+            return np.nan, np.nan, np.nan
         before = np.concatenate(([get(START, 0)], at[:-1]))
         key = before * len(self.single) + at
         slot = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
@@ -123,11 +112,14 @@ class Ratio:
 
     def score(self, features: np.ndarray) -> np.ndarray:
         z = np.column_stack([(features - self.centre) / self.scale, np.ones(len(features))]) @ self.weights
-        return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+        return np.where(np.isnan(z), self.share, 1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
 def _calibrated(ratio: Ratio, features: np.ndarray, toxic: np.ndarray) -> Ratio:
     """Logistic regression with a small ridge, by Newton steps."""
+    good = ~np.isnan(features[:, 0])
+    ratio.share = float(toxic.mean())
+    features, toxic = features[good], toxic[good]
     ratio.centre, ratio.scale = features.mean(axis=0), features.std(axis=0) + 1e-9
     x = np.column_stack([(features - ratio.centre) / ratio.scale, np.ones(len(features))])
     w, ridge = np.zeros(4), np.diag([1e-2, 1e-2, 1e-2, 1e-6]) * max(1.0, len(x) / 1000)
@@ -150,6 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     empty = Ratio({}, np.zeros(1), np.array([-1]), np.zeros(1))
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
+        empty.share = 1.0 if sizes.get(1) else 0.0
         empty.weights[3] = 50.0 if sizes.get(1) else -50.0
         return empty
     last = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5)) == 0
@@ -168,6 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     )
     totals = into.agg(F.sum("k0"), F.sum("k1"), F.sum("k"), F.count_if(F.col("k0") > 0), F.count_if(F.col("k1") > 0), F.count(F.lit(1))).first()
     if not totals[5]:
+        empty.weights[3] = -50.0
         return empty
     sized = into.join(after, "w", "full").na.fill(0).withColumn("size", F.greatest(F.col("n0") + F.col("n1"), F.col("k")))
     known = most_frequent(written(sized, "known"), "size", MAX_WORDS).toPandas()
@@ -232,8 +226,8 @@ def _scores(batches: Iterator[pa.RecordBatch], ratio: Ratio, text: str) -> Itera
 def with_scores(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with ``__toxic``, from 0 to 1.
 
-    A null or empty text has no words: its features are zero, and it gets what
-    the calibration gives to those.  Repeated rows get equal scores.  Labels
+    A null or empty text has no words: it gets the share of toxic texts among
+    those that calibrate.  Repeated rows get equal scores.  Labels
     are never looked up for the row that is scored.
     """
     ratio = fit(docs, labels, text, key)
