@@ -13,6 +13,10 @@ class PlanMissing(LookupError):
     """No stored plan for these inputs, or it is too old."""
 
 
+class PlanMismatch(PlanMissing):
+    """The apply's inputs are not those that were planned, or the plan is too old; nothing was written."""
+
+
 class DriftRefused(RuntimeError):
     """Rows moved between plan and apply; nothing was written."""
 

@@ -90,10 +90,15 @@ def state_map(df: DataFrame, cols: Iterable[str]) -> Column:
     return F.create_map(*cells)
 
 
-def change_ref(module: Column | str, record_id: Column | str, at: Column | str) -> Column:
-    """Names a change, not a record: the same record edited twice is two refs."""
-    return F.concat_ws(":", as_column(module), as_column(record_id),
-                       F.coalesce(iso_text(at), F.lit("unreadable")))
+def change_ref(module: Column | str, record_id: Column | str, at: Column | str,
+               raw: Column | str | None = None) -> Column:
+    """Names a change, not a record: the same record edited twice is two refs.
+
+    A time that cannot be read is named by its text, if ``raw`` gives it."""
+    unread = F.lit("unreadable")
+    if raw is not None:
+        unread = F.concat_ws(":", unread, as_column(raw))
+    return F.concat_ws(":", as_column(module), as_column(record_id), F.coalesce(iso_text(at), unread))
 
 
 def moved(before: Column | str, now: Column | str) -> Column:

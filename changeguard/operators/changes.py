@@ -14,7 +14,7 @@ from changeguard.operators.scans import changed_since, exclude_delivered
 def read_changes(feed: DataFrame, raw: str = "modified_raw") -> DataFrame:
     """A raw feed (module, id, modified text) with instants and change refs."""
     timed = feed.where(F.coalesce("id", F.lit("")) != "").withColumn("modified_at", iso_utc(raw))
-    return timed.withColumn("change_ref", change_ref("module", "id", "modified_at"))
+    return timed.withColumn("change_ref", change_ref("module", "id", "modified_at", raw))
 
 
 def split_unreadable(changes: DataFrame) -> tuple[DataFrame, DataFrame]:

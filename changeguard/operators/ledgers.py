@@ -176,22 +176,28 @@ def verdict_by_id(ledger: DataFrame, records: DataFrame | None = None) -> DataFr
 
 
 def attach_reconciled(ledger_long: DataFrame, ledger: DataFrame, records: DataFrame | None = None) -> DataFrame:
-    """Unresolved rows with the newest verdict recorded about them.
+    """Unresolved rows with the newest verdict recorded about each.
 
-    The newest reconciled entry of an attempt decides; a record it does not
-    name has no verdict.
+    The newest reconciled entry that names a record decides about it: later
+    runs judge only what was still open and do not undo earlier verdicts.
+    ``merge_state``, and the entry shown for records no entry names, are those
+    of the attempt's newest reconciled entry.
     """
     heads = (reconciled_heads(ledger).groupBy("resolves_segment", "resolves_seq")
              .agg(F.max_by(F.struct("segment", "seq", "merge_state"), F.struct("segment", "seq")).alias("r"))
              .select(F.col("resolves_segment").alias("segment"), F.col("resolves_seq").alias("seq"),
-                     F.col("r.segment").alias("verdict_segment"), F.col("r.seq").alias("verdict_seq"),
+                     F.col("r.segment").alias("head_segment"), F.col("r.seq").alias("head_seq"),
                      F.col("r.merge_state").alias("merge_state")))
-    verdicts = verdict_by_id(ledger, records).select(
-        F.col("segment").alias("verdict_segment"), F.col("seq").alias("verdict_seq"), "id", "verdict")
-    verdicts = verdicts.groupBy("verdict_segment", "verdict_seq", "id").agg(F.max("verdict").alias("verdict"))
+    newest = (verdict_by_id(ledger, records).groupBy("resolves_segment", "resolves_seq", "id")
+              .agg(F.max(F.struct("segment", "seq", "verdict")).alias("v"))
+              .select(F.col("resolves_segment").alias("segment"), F.col("resolves_seq").alias("seq"), "id",
+                      F.col("v.segment").alias("named_segment"), F.col("v.seq").alias("named_seq"),
+                      F.col("v.verdict").alias("verdict")))
     open_rows = ledger_long.where(F.col("outcome") == "unresolved")
-    return (open_rows.join(heads, ["segment", "seq"], "left")
-            .join(verdicts, ["verdict_segment", "verdict_seq", "id"], "left"))
+    return (open_rows.join(heads, ["segment", "seq"], "left").join(newest, ["segment", "seq", "id"], "left")
+            .withColumns({"verdict_segment": F.coalesce("named_segment", "head_segment"),
+                          "verdict_seq": F.coalesce("named_seq", "head_seq")})
+            .drop("named_segment", "named_seq", "head_segment", "head_seq"))
 
 
 def open_unresolved(ledger: DataFrame, seq: int | None = None, segment: int | None = None) -> DataFrame:

@@ -17,6 +17,7 @@ from changeguard.operators.ranking import dense_index, top_per_group
 
 OK = "SUCCESS"
 BIN_DAYS = 60
+UNMATCHED = "NOT_IN_MATCH"
 DEAL_FIELDS = ("Deal_Name", "Closing_Date", "Stage")
 
 
@@ -29,11 +30,19 @@ def _aligned(df: DataFrame, like: DataFrame) -> DataFrame:
 def _verdict(rows: DataFrame, meta: DataFrame, module: str) -> tuple[Column, Column, Column]:
     """(code, message, field) of the first rule a new row breaks.
 
-    Field metadata has at most one row per column of the table.
+    Field metadata may have several rows per field: it is required if one row
+    says so, and read-only if one says so; two different pick lists are refused.
+    What is collected is one row per column of the table.
     """
-    rules = (meta.where((F.col("module") == module) & F.col("field").isin(*rows.columns))
-             .select("field", "system_mandatory", "required", "read_only", "pick_list_values").distinct()
-             .orderBy("field").limit(len(rows.columns) + 1).collect())
+    either = lambda name: F.coalesce(F.bool_or(name), F.lit(False)).alias(name)
+    lists = F.collect_set(F.when(F.size("pick_list_values") > 0, F.array_sort("pick_list_values")))
+    rules = (meta.where((F.col("module") == module) & F.col("field").isin(*rows.columns)).groupBy("field")
+             .agg(either("system_mandatory"), either("required"), either("read_only"), F.size(lists).alias("lists"),
+                  F.try_element_at(lists, F.lit(1)).alias("pick_list_values"))
+             .orderBy("field").collect())
+    torn = [rule.field for rule in rules if rule.lists > 1]
+    if torn:
+        raise ValueError(f"fields with more than one pick list: {torn}")
     code = message = field = None
     for rule in rules:
         tests = []
@@ -115,10 +124,12 @@ def upsert_rows(target: DataFrame, incoming: DataFrame, check_fields: Sequence[s
 
     Several input rows for one existing record, or with the same new key, are
     one write: the smallest row_id gives the values and the others are reported
-    as duplicates, so running the same set again changes nothing.
+    as duplicates, so running the same set again changes nothing.  A row that
+    ``match`` does not hold is reported and not written.
     """
     match = match if match is not None else upsert_match(incoming, target, check_fields)
-    joined = incoming.join(match.select("row_id", "action", F.col("id").alias("_hit")), "row_id")
+    joined = incoming.join(match.select("row_id", "action", F.col("id").alias("_hit")), "row_id", "left")
+    strays, joined = joined.where(F.col("action").isNull()), joined.where(F.col("action").isNotNull())
     key = F.to_json(F.struct(*[F.col(f).cast("string").alias(f) for f in check_fields]), {"ignoreNullFields": "false"})
     writes = joined.withColumn("_write", F.coalesce(F.concat(F.lit("id:"), F.col("_hit")),
                                                     F.concat(F.lit("new:"), key)))
@@ -136,7 +147,8 @@ def upsert_rows(target: DataFrame, incoming: DataFrame, check_fields: Sequence[s
                .select("row_id", F.col("_hit").alias("id"), "action", F.lit(OK).alias("code"))
                .unionByName(fresh.select("row_id", "id", F.lit("create").alias("action"), F.lit(OK).alias("code")))
                .unionByName(chosen.where(~F.col("_wins")).select(
-                   "row_id", F.col("_hit").alias("id"), "action", F.lit("DUPLICATE_DATA").alias("code"))))
+                   "row_id", F.col("_hit").alias("id"), "action", F.lit("DUPLICATE_DATA").alias("code")))
+               .unionByName(strays.select("row_id", F.col("_hit").alias("id"), "action", F.lit(UNMATCHED).alias("code"))))
     return new.unionByName(_aligned(fresh, target)), results
 
 

@@ -41,7 +41,7 @@ VIEWS = {
         user_id::varchar id, event_type modified_by,
         case when event_id % 97 <> 0 then date_trunc('second', ts) end modified_at,
         case when event_id % 2 = 0 then 'Leads' else 'Contacts' end || ':' || user_id || ':' ||
-        case when event_id % 97 <> 0 then {iso("date_trunc('second', ts)")} else 'unreadable' end change_ref
+        case when event_id % 97 <> 0 then {iso("date_trunc('second', ts)")} else 'unreadable:unreadable' end change_ref
         from events""",
     "ledger": """select event_id e, event_id % 10 turn, event_id // 5000 as segment, event_id % 5000 + 1 as seq,
         case when event_id % 10 <= 6 then 'applied' when event_id % 10 = 7 then 'refused'
@@ -400,7 +400,7 @@ ORACLES = {
     "x1_stream_changes": "select distinct change_ref, governed from scanned",
     "x6_window_counts": f"""select module, {iso("date_trunc('hour', modified_at)")} window_start,
         count(*) filter (governed) governed, count(*) filter (not governed) ungoverned from scanned
-        where modified_at is not null group by 1, 2""",
+        group by 1, 2""",
     "g13_reconcile": "select segment, seq, command, id, role, basis, verdict, merge_state from verdicts",
     "g13_totals": f"select {TOTALS}, 0::bigint unreconcilable, 0::bigint already_committed from verdicts",
     "a14_entry_resolved": """select segment, seq, bool_or(verdict in ('landed', 'not_landed')) resolved,

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeguard.errors import DriftRefused, NothingMatched, PlanMissing, UnresolvedWrite
+from changeguard.errors import DriftRefused, NothingMatched, PlanMismatch, PlanMissing, UnresolvedWrite
 from changeguard.functions.scalars import state_map
 from changeguard.operators.fingerprints import drift_rows, fingerprint_value
 from changeguard.sources.ledger_store import LedgerStore, new_entry, records_digest, records_of
-from changeguard.sources.plan_store import Plan
+from changeguard.sources.plan_store import TTL_SECONDS, Plan
 from changeguard.sources.snapshots import SnapshotTable
 
 GUARD = "modified_time"
@@ -30,7 +31,29 @@ class ApplyResult:
 
 def require_plan(plan: Plan | None) -> Plan:
     if plan is None:
-        raise PlanMissing("no current plan for these inputs; plan first, review it, then apply the same inputs")
+        raise PlanMissing("no plan was given: an apply needs the plan that was reviewed")
+    return plan
+
+
+def _seconds(text: str) -> float:
+    at = datetime.fromisoformat(text)
+    return (at if at.tzinfo else at.replace(tzinfo=timezone.utc)).timestamp()
+
+
+def hold_to_plan(plan: Plan | None, key: str, command: str, ledger: LedgerStore, now: str) -> Plan:
+    """The plan, if ``key``, made anew from the apply's own inputs, is that of
+    the plan and the plan has not outlived ``TTL``.  Otherwise the attempt is
+    logged as refused and nothing is written."""
+    plan = require_plan(plan)
+    reason = None
+    if plan.key != key:
+        reason = "the inputs are not those that were planned"
+    elif plan.made is not None and _seconds(now) - _seconds(plan.made) >= TTL_SECONDS:
+        reason = "the plan is too old"
+    if reason:
+        log_entry(ledger, "refused", command, plan, now,
+                  {"reason": reason, "expected": plan.key, "actual": key, "records": plan.count})
+        raise PlanMismatch(f"{command}: {reason}")
     return plan
 
 

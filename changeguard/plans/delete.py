@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 
 from changeguard.operators.mutations import delete_rows
 from changeguard.operators.scans import require_at_most
-from changeguard.plans.common import (GUARD, ApplyResult, commit_or_log, guarded, log_entry, refuse, require_plan,
-                                      snapshot_rows, written_records)
+from changeguard.plans.common import (GUARD, ApplyResult, commit_or_log, guarded, hold_to_plan, log_entry, refuse,
+                                      require_plan,                                      snapshot_rows, written_records)
 from changeguard.sources.ledger_store import LedgerStore
 from changeguard.sources.plan_store import Plan, plan_key
 from changeguard.sources.snapshots import SnapshotTable
 
 
+def delete_key(module: str, predicate: str) -> str:
+    return plan_key("delete", module, predicate, {})
+
+
 def plan_delete(target: DataFrame, module: str, predicate: str, max_records: int | None = None) -> Plan:
     rows = require_at_most(target.where(predicate), max_records, "the plan")
     count, digest = guarded(rows, module, [GUARD], "the plan")
-    return Plan("delete", module, plan_key("delete", module, predicate, {}), digest, count, {"count": count},
+    return Plan("delete", module, delete_key(module, predicate), digest, count, {"count": count},
                 snapshot_rows(rows, []))
 
 
@@ -26,6 +30,7 @@ def apply_delete(plan: Plan | None, table: SnapshotTable, ledger: LedgerStore, p
     """Delete what was reviewed.  A delete reports no write time, so its entry
     can never be matched to a state; it still names every record."""
     plan = require_plan(plan)
+    plan = hold_to_plan(plan, delete_key(plan.module, predicate), "apply_delete", ledger, now)
     version = table.version()
     rows = table.read(version).where(predicate)
     count, digest = guarded(rows, plan.module, [GUARD], "the apply")

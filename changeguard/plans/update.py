@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from changeguard.operators.fingerprints import would_change
 from changeguard.operators.scans import require_at_most
-from changeguard.plans.common import (GUARD, ApplyResult, check_columns, commit_or_log, guarded, log_entry, refuse,
+from changeguard.plans.common import (GUARD, ApplyResult, check_columns, commit_or_log, guarded, hold_to_plan,
+                                      log_entry, refuse,
                                       require_plan, snapshot_rows, written_records)
 from changeguard.sources.ledger_store import LedgerStore
 from changeguard.sources.plan_store import Plan, plan_key
@@ -41,6 +42,7 @@ def apply_update(plan: Plan | None, table: SnapshotTable, ledger: LedgerStore, p
     """Select again, hash again, and write only if nothing moved.  Rows that
     newly match are drift too."""
     plan = require_plan(plan)
+    plan = hold_to_plan(plan, update_key(plan.module, predicate, changes), "apply_update", ledger, now)
     version = table.version()
     target = table.read(version)
     fields, guard = sorted(changes), sorted({*changes, GUARD})

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from changeguard.sources import commits
 
 TTL = "60 minutes"
+TTL_SECONDS = 3600
 HEADERS = "key string, kind string, module string, fingerprint string, count bigint, body string, token string, ts timestamp"
 
 
@@ -32,6 +33,7 @@ class Plan:
     summary: dict
     rows: DataFrame | None = None
     extra: dict[str, DataFrame] = field(default_factory=dict)
+    made: str | None = None  # when it was stored; the age of an unstored plan is not known
 
 
 def save_plan(plan: Plan, path: str, now: str) -> None:
@@ -65,4 +67,5 @@ def load_plan(spark: SparkSession, path: str, key: str, now: str, ttl: str = TTL
         return None
     folder = f"{path}/rows/{row.token}"
     rows = spark.read.parquet(folder) if commits.exists(spark, folder) else None
-    return Plan(row.kind, row.module, row.key, row.fingerprint, row["count"], json.loads(row.body), rows)
+    return Plan(row.kind, row.module, row.key, row.fingerprint, row["count"], json.loads(row.body), rows,
+                made=str(row.ts))

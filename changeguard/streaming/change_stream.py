@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changeguard.operators.changes import match_governed, read_changes
+from changeguard.operators.changes import match_governed, read_changes, split_unreadable
 from changeguard.operators.ledgers import governed_keys
 from changeguard.sources import commits
 
@@ -79,11 +79,18 @@ def settled_changes(spark: SparkSession, sink: str, read_ledger: LedgerReader) -
 def window_counts(changes: DataFrame, width: str = "1 hour", lateness: str | None = None) -> DataFrame:
     """Governed and ungoverned changes per module and window of time.
 
-    Works on a batch or a stream; on a stream give ``lateness``.
+    Works on a batch or a stream; on a stream give ``lateness``.  In a batch,
+    changes whose time cannot be read have a null window; a stream has no
+    window for them, ``split_unreadable`` gives them apart.
     """
-    timed = changes.where(F.col("modified_at").isNotNull())
+    timed, unreadable = split_unreadable(changes)
     if lateness is not None:
         timed = timed.withWatermark("modified_at", lateness)
-    return (timed.groupBy("module", F.window("modified_at", width).alias("w"))
-            .agg(F.count_if("governed").alias("governed"), F.count_if(~F.col("governed")).alias("ungoverned"))
-            .select("module", F.col("w.start").alias("window_start"), "governed", "ungoverned"))
+    counts = [F.count_if("governed").alias("governed"), F.count_if(~F.col("governed")).alias("ungoverned")]
+    found = (timed.groupBy("module", F.window("modified_at", width).alias("w")).agg(*counts)
+             .select("module", F.col("w.start").alias("window_start"), "governed", "ungoverned"))
+    if changes.isStreaming:
+        return found
+    none = F.lit(None).cast("timestamp").alias("window_start")
+    return found.unionByName(unreadable.groupBy("module").agg(*counts)
+                             .select("module", none, "governed", "ungoverned"))

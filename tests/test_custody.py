@@ -95,7 +95,7 @@ def test_a_change_matches_an_approval_exactly_or_not_at_all(spark):
              ("Deals", "1", WRITE), ("Leads", "1", "unreadable"), ("Leads", None, WRITE), ("Leads", "", WRITE)), ledger)
     assert {(r.change_ref, r.governed) for r in found.collect()} == {
         ("Leads:1:2026-01-01T00:00:00Z", True), ("Leads:2:2026-01-01T00:00:01Z", False),
-        ("Deals:1:2026-01-01T00:00:00Z", False), ("Leads:1:unreadable", False)}
+        ("Deals:1:2026-01-01T00:00:00Z", False), ("Leads:1:unreadable:unreadable", False)}
     row = summary.head()
     assert (row.changes, row.ungoverned, row.unreadable, row.unmatchable_ledger_entries, row.truncated) == (4, 3, 1, 1, False)
 

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from changeguard.errors import DriftRefused, NothingMatched, PlanMissing, SetTooLarge, UnresolvedWrite
+from changeguard.errors import DriftRefused, NothingMatched, PlanMismatch, PlanMissing, SetTooLarge, UnresolvedWrite
 from changeguard.operators import chains, changes, custody, ledgers, reconcile
 from changeguard.plans import audit, delete, handover, merge, rollback, update, upsert
 from changeguard.sources import commits
@@ -269,3 +269,49 @@ def test_audit_pack_checks_the_whole_chain(world):
     row = summary.head()
     assert (row.entries, row.chain_intact, row.chain_verified, rows.count()) == (0, True, 1, 0)
     assert audit.audit_pack(world.ledger.read(), world.ledger.segments())[0].head().records_changed == 2
+
+
+def test_other_inputs_than_the_planned_ones_are_refused(world, spark):
+    plan = update.plan_update(world.table.read(), "Deals", WHERE, CHANGE)
+    for where, change in ((WHERE, {"stage": "UNREVIEWED"}), ("stage in ('old')", CHANGE)):
+        with pytest.raises(PlanMismatch):
+            update.apply_update(plan, world.table, world.ledger, where, change, NOW)
+    gone = delete.plan_delete(world.table.read(), "Deals", "id = '1'")
+    with pytest.raises(PlanMismatch):
+        delete.apply_delete(gone, world.table, world.ledger, "id = '2'", NOW)
+    assert len(world.state("stage")) == 3 and ("new",) not in [world.state("stage")[i] for i in "12"]
+    assert [o for o, *_ in world.outcomes()] == ["refused"] * 3
+
+
+def test_swapped_and_unusable_pairs_are_refused(world, spark):
+    pairs = spark.createDataFrame([("2", "1")], "master_id string, loser_id string")
+    plan = merge.plan_merge(world.table.read(), "Deals", {}, pairs)
+    swapped = spark.createDataFrame([("1", "2")], pairs.schema)
+    with pytest.raises(PlanMismatch):
+        merge.apply_merge(plan, world.table, {}, swapped, world.ledger, NOW)
+    with pytest.raises(ValueError, match="merged into itself"):
+        merge.apply_merge(plan, world.table, {}, pairs.union(spark.createDataFrame([("3", "3")], pairs.schema)), world.ledger, NOW)
+    assert len(world.state("stage")) == 3 and world.outcomes() == [("refused", "apply_merge", "Deals")]
+
+
+def test_upsert_refuses_extra_rows_and_keys_that_appeared(world, spark):
+    schema = "row_id long, email string, stage string"
+    incoming = spark.createDataFrame([(1, "a@x", "up"), (2, "new@x", "made")], schema)
+    plan = upsert.plan_upsert(world.table.read(), "Deals", incoming, ["email"])
+    extra = incoming.union(spark.createDataFrame([(3, "more@x", "made")], schema))
+    with pytest.raises(PlanMismatch):
+        upsert.apply_upsert(plan, world.table, world.ledger, extra, ["email"], ["email", "stage"], NOW)
+    world.edit("2", email="new@x")
+    with pytest.raises(DriftRefused, match="other records"):
+        upsert.apply_upsert(plan, world.table, world.ledger, incoming, ["email"], ["email", "stage"], NOW)
+    assert len(world.state("email")) == 3 and [o for o, *_ in world.outcomes()] == ["refused", "refused"]
+
+
+def test_a_plan_grows_too_old(world):
+    plan = update.plan_update(world.table.read(), "Deals", WHERE, CHANGE)
+    plan.made = "2026-03-02 03:30:00"
+    with pytest.raises(PlanMismatch, match="too old"):
+        update.apply_update(plan, world.table, world.ledger, WHERE, CHANGE, NOW)
+    plan.made = "2026-03-02 03:30:01"
+    update.apply_update(plan, world.table, world.ledger, WHERE, CHANGE, NOW)
+    assert [o for o, *_ in world.outcomes()] == ["refused", "applied"]
