@@ -12,7 +12,7 @@ from changeguard.functions.scalars import blank_value, days_ago, flat, is_blank,
 from changeguard.operators.ranking import top_per_group
 from changeguard.operators.scans import HYGIENE_CLOSED, departed_users, open_stage
 
-DEFAULT_SAMPLE, MAX_SAMPLE = 5, 25
+DEFAULT_SAMPLE = 5
 
 
 @dataclass(frozen=True)
@@ -89,7 +89,9 @@ def finding_counts(findings: DataFrame) -> DataFrame:
 
 
 def sample_per_check(findings: DataFrame, n: int = DEFAULT_SAMPLE) -> DataFrame:
-    n = max(0, min(n, MAX_SAMPLE))
+    """The first ``n`` findings of each check by id."""
+    if n < 0:
+        raise ValueError("a sample has 0 rows or more")
     if n == 0:
         return findings.limit(0)
     return top_per_group(findings, ["check"], [F.col("id")], n).drop("rank")

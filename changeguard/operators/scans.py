@@ -25,7 +25,6 @@ DEFAULT_FIELDS = {
 # Closed stages, the longer list for handover, the shorter for hygiene.
 HANDOVER_CLOSED = ("Closed Won", "Closed Lost", "Closed-Lost to Competition")
 HYGIENE_CLOSED = ("Closed Won", "Closed Lost")
-FALLBACK_FIELDS = 50
 USER_KINDS = ("AllUsers", "ActiveUsers", "DeactiveUsers", "ConfirmedUsers", "NotConfirmedUsers",
               "DeletedUsers", "ActiveConfirmedUsers", "AdminUsers", "ActiveConfirmedAdmins", "CurrentUser")
 
@@ -83,8 +82,8 @@ def page(df: DataFrame, order: Sequence[Column], offset: int, n: int) -> DataFra
 def list_records(df: DataFrame, fields: Sequence[str], sort_by: str, desc: bool = True,
                  number: int = 1, per_page: int = 50) -> DataFrame:
     """One page of a table with ``more_records`` on every row."""
-    if not 1 <= per_page <= 200:
-        raise ValueError("per_page must be between 1 and 200")
+    if per_page < 1 or number < 1:
+        raise ValueError("pages have at least one row and are numbered from 1")
     key = F.col(sort_by).desc_nulls_last() if desc else F.col(sort_by).asc_nulls_last()
     rows = page(df.select(*dict.fromkeys([*fields, sort_by, "id"])), [key, F.col("id")],
                 (number - 1) * per_page, per_page + 1)
@@ -96,16 +95,18 @@ def list_records(df: DataFrame, fields: Sequence[str], sort_by: str, desc: bool
 
 
 def default_projection(df: DataFrame, module: str, fields: Sequence[str] | None = None,
-                       meta: DataFrame | None = None) -> DataFrame:
-    """Asked-for columns, else the module's defaults, else the first described ones."""
+                       meta: DataFrame | None = None,
+                       defaults: Mapping[str, Sequence[str]] = DEFAULT_FIELDS) -> DataFrame:
+    """Asked-for columns, else the module's ``defaults``, else all described ones."""
     if fields:
         return df.select(*fields)
-    if module in DEFAULT_FIELDS:
-        return df.select(*DEFAULT_FIELDS[module])
+    if module in defaults:
+        return df.select(*defaults[module])
     if meta is None:
         raise ValueError(f"no readable fields on {module}; name some")
-    rows = (meta.where(F.col("module") == module).orderBy("position").select("field")
-            .limit(FALLBACK_FIELDS).collect())
+    # at most one row per column of the table
+    rows = (meta.where((F.col("module") == module) & F.col("field").isin(*df.columns)).groupBy("field")
+            .agg(F.min("position").alias("position")).orderBy("position", "field").collect())
     if not rows:
         raise ValueError(f"no readable fields on {module}; name some")
     return df.select(*[row.field for row in rows])

@@ -475,6 +475,10 @@ ORACLES = {
     "g2_apply_update": f"""select id, case when priority = '1-URGENT' and stage = 'Qualification' then 'Closed Won'
           else stage end stage, {iso(f"case when priority = '1-URGENT' and stage = 'Qualification' then timestamp '{NOW}' else modified_time end")}
         modified_time from deals""",
+    "g2_refused_applies": """select 'refused' as outcome, 'apply_update' as command, count(*) planned from deals
+          where priority = '1-URGENT' and stage = 'Qualification'
+        union all select 'refused', 'apply_delete', count(*) from deals where amount < 50000
+        union all select 'refused', 'apply_merge', 2""",
     "g2_ledger_records": f"""select module, id, 'applied' as outcome, {iso(f"timestamp '{NOW}'")} as written from deals
         where priority = '1-URGENT' and stage = 'Qualification'""",
     "g3_apply_delete": "select id, stage from deals where amount >= 50000",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeguard import views as V
+from changeguard.errors import PlanMismatch
 from changeguard.functions import details, scalars
 from changeguard.operators import (chains, changes, custody, fingerprints, ledgers, matching, mutations, quality,
                                    reconcile, scans)
@@ -737,6 +738,28 @@ def g2_apply_update(s, d):
     return table.read().select("id", "stage", iso("modified_time").alias("modified_time"))
 
 
+@query
+def g2_refused_applies(s, d):
+    """Applies that differ from their plan are refused and logged, and write nothing."""
+    tables, ledger = _world(s, Deals=V.deals(s, d))
+    deals = tables["Deals"]
+    where, change = "priority = '1-URGENT' and stage = 'Qualification'", {"stage": "Closed Won"}
+    pairs = deals.read().agg(F.min("id").alias("master_id"), F.max("id").alias("loser_id"))
+    swapped = pairs.select(F.col("loser_id").alias("master_id"), F.col("master_id").alias("loser_id"))
+    made = update.plan_update(deals.read(), "Deals", where, change)
+    gone = delete.plan_delete(deals.read(), "Deals", "amount < 50000")
+    one = merge.plan_merge(deals.read(), "Deals", {}, pairs)
+    for attempt in (lambda: update.apply_update(made, deals, ledger, where, {"stage": "Other"}, V.NOW),
+                    lambda: delete.apply_delete(gone, deals, ledger, "amount < 60000", V.NOW),
+                    lambda: merge.apply_merge(one, deals, {}, swapped, ledger, V.NOW)):
+        try:
+            attempt()
+        except PlanMismatch:
+            pass
+    planned = F.get_json_object("detail", "$.records").cast("bigint")
+    return ledger.read().select("outcome", "command", planned.alias("planned"))
+
+
 @query
 def g2_ledger_records(s, d):
     """What the ledger holds about every record an update wrote."""

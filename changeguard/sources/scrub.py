@@ -34,6 +34,15 @@ class _Walker:
         self.keys, self.list_keep = set(keys), list_keep
         self.swapped, self.ids = swapped or {}, {}
 
+    def _entry(self, key: Column, value: Column, kind: T.DataType) -> Column:
+        """A map value: hidden under a sensitive key.  Ids in maps have no fixed place and stay."""
+        if not isinstance(kind, T.StringType):
+            return value
+        shown = F.when(value.isNull(), value)
+        for name in sorted(self.keys):
+            shown = shown.when(key == name, F.lit(_stand_in(name)))
+        return shown.otherwise(value)
+
     def visit(self, column: Column, kind: T.DataType, name: str, path: str) -> Column:
         if isinstance(kind, T.StringType):
             if name in self.keys:
@@ -46,6 +55,8 @@ class _Walker:
             parts = [self.visit(column.getField(f.name), f.dataType, f.name, f"{path}.{f.name}").alias(f.name)
                      for f in kind.fields]
             return F.when(column.isNotNull(), F.struct(*parts))
+        if isinstance(kind, T.MapType) and isinstance(kind.keyType, T.StringType):
+            return F.transform_values(column, lambda k, v: self._entry(k, v, kind.valueType))
         if isinstance(kind, T.ArrayType):
             places = [self.visit(F.get(column, i), kind.elementType, "", f"{path}[{i}]")
                       for i in range(self.list_keep)]

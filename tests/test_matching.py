@@ -133,7 +133,7 @@ def test_pages(rows):
     assert ([r.id for r in first], first[0].more_records) == (["7", "6", "5"], True)
     assert ([r.id for r in last], last[0].more_records) == (["1"], False)
     with pytest.raises(ValueError):
-        scans.list_records(df, ["id"], "n", per_page=201)
+        scans.list_records(df, ["id"], "n", per_page=0)
 
 
 def test_default_projection(rows):
