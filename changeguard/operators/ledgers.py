@@ -234,7 +234,3 @@ def timeline(events: DataFrame) -> DataFrame:
     """Events in record and time order.  Kept long: the sort is by range on the
     whole key, so a record with very many events is spread over tasks."""
     return events.orderBy("module", "id", "at", "segment", "seq")
-
-
-def entry_times(ledger: DataFrame) -> DataFrame:
-    return ledger.select("segment", "seq", iso_text("at").alias("at"))

@@ -11,14 +11,6 @@ from changeguard.functions.scalars import SYSTEM_FIELDS, flat, is_blank, is_igno
 from changeguard.operators.ranking import dense_index, top_per_group
 
 BATCH = 100
-# Child tables of a record, their link column and their title.
-RELATED_LISTS = {
-    "Notes": ("Parent_Id", "Note_Title"),
-    "Tasks": ("What_Id", "Subject"),
-    "Calls": ("What_Id", "Subject"),
-    "Events": ("What_Id", "Event_Title"),
-    "Attachments": ("Parent_Id", "File_Name"),
-}
 
 
 # --- upsert -----------------------------------------------------------------
@@ -39,12 +31,6 @@ def _keyed(df: DataFrame, check_fields: Sequence[str], *carry: str) -> DataFrame
     return df.select(*carry, F.inline(F.array_compact(cells)))
 
 
-def first_matching_key(matches: DataFrame) -> DataFrame:
-    """Per input row, the hit on the earliest check field in list order."""
-    best = F.min_by(F.struct("field", "value", "id", "modified_time", "candidates"), "ordinal")
-    return matches.groupBy("row_id").agg(best.alias("m")).select("row_id", "m.*")
-
-
 def upsert_match(incoming: DataFrame, existing: DataFrame, check_fields: Sequence[str]) -> DataFrame:
     """Each input row (``row_id``) to the record it would update, or a create.
 

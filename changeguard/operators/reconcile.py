@@ -162,7 +162,3 @@ def reconcile(ledger: DataFrame, current: DataFrame, records: DataFrame | None =
                             F.lit(None).cast("string").alias("merge_state"))
     verdicts = judged.unionByName(done)
     return reconcile_totals(verdicts), verdicts
-
-
-def resolved_attempts(ledger: DataFrame) -> DataFrame:
-    return reconciled_heads(ledger).where("resolved").select("resolves_segment", "resolves_seq").distinct()

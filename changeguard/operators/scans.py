@@ -248,7 +248,3 @@ def exclude_delivered(changes: DataFrame, delivered: DataFrame) -> tuple[DataFra
     seen = delivered.select("change_ref")
     skipped = changes.join(seen, "change_ref", "left_semi").agg(F.count("*").alias("skipped"))
     return minus(changes, delivered, ["change_ref"]), skipped
-
-
-def scan_order(at: Column | str = "modified_at") -> list[Column]:
-    return [as_column(at).asc_nulls_first(), F.col("id")]

@@ -17,7 +17,7 @@ from changeguard.sources.plan_store import TTL_SECONDS, Plan
 from changeguard.sources.snapshots import SnapshotTable
 
 GUARD = "modified_time"
-MOVED = "state moved between plan and apply"
+MOVED = "the selected rows are no longer those of the plan"
 
 
 @dataclass

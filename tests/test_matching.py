@@ -183,7 +183,7 @@ def test_hygiene_options(spark, rows):
     counts, _, sample, unavailable = quality.hygiene_scan(tables(spark, rows), None, NOW, include=["stale_leads", "orphaned_leads"], sample=0)
     assert [r.check for r in counts.collect()] == ["stale_leads"] and sample.count() == 0
     assert [u[0] for u in unavailable] == ["orphaned_leads"]
-    extra = quality.Check("odd", "Leads", "odd owners", ("owner_id",), F.col("owner_id") == "9")
+    extra = quality.Check("odd", "Leads", ("owner_id",), F.col("owner_id") == "9")
     counts, *_ = quality.hygiene_scan(tables(spark, rows), users(rows), NOW, extra_checks=[extra])
     assert "odd" in {r.check for r in counts.collect()}
     with pytest.raises(ValueError):
