@@ -207,9 +207,9 @@ class LedgerStore:
         log = self.commit_table()
         body = F.concat_ws("|", "prev", F.col("number").cast("string"), "token", "segments_digest")
         before = log.select((F.col("number") + 1).alias("number"), F.col("head").alias("before"))
-        why = (F.when(F.col("prev") != F.coalesce("before", F.when(F.col("number") == 1, GENESIS), F.lit("")),
+        why = (F.when(~F.col("prev").eqNullSafe(F.coalesce("before", F.when(F.col("number") == 1, GENESIS), F.lit(""))),
                       "does not follow the commit before it")
-               .when(F.col("head") != F.concat(F.lit("sha256:"), F.sha2(body, 256)), "commit was changed")
+               .when(~F.col("head").eqNullSafe(F.concat(F.lit("sha256:"), F.sha2(body, 256))), "commit was changed")
                .when(~F.col("segments_digest").eqNullSafe(F.col("found")), "segment ends were changed"))
         return (log.join(before, "number", "left").join(ends, "token", "left")
                 .select("number", why.isNull().alias("ok"), why.alias("why")))

@@ -54,7 +54,7 @@ class SnapshotTable:
             return base
         changed_schema = T.StructType([*schema.fields, T.StructField("_deleted", T.BooleanType())])
         order = F.create_map(*[x for c in deltas for x in (F.lit(c["token"]), F.lit(c["version"]))])
-        token = F.regexp_extract(F.col("_metadata.file_path"), r"/delta/([0-9a-f]+)/", 1)
+        token = F.regexp_extract(F.col("_metadata.file_path"), r"/delta/([0-9a-f]{32})/[^/]*$", 1)
         changed = (self.spark.read.schema(changed_schema)
                    .parquet(*[f"{self.path}/delta/{c['token']}" for c in deltas])
                    .withColumn("_version", F.element_at(order, token)))

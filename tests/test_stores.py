@@ -169,3 +169,10 @@ def test_scrub(spark):
         "REDACTED", "redacted@example.com", "REDACTED", "redacted@example.com", "token_1")
     assert [(x.id, x.note) for x in one.related] == [("id_1", "p"), ("id_3", "q"), ("x", "r")]
     assert (two.full_name, two.Owner, two.related) == (None, None, None)
+
+
+def test_a_table_may_lie_under_any_folder_name(spark, tmp_path):
+    start = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, v string")
+    table = SnapshotTable.create(start, f"{tmp_path}/delta/cafe/table", "Deals")
+    table.commit(table.stage(spark.createDataFrame([("1", "new")], start.schema)), table.version())
+    assert {r.id: r.v for r in table.read().collect()} == {"1": "new", "2": "b"}
