@@ -26,6 +26,8 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 12, 4  # a pair at 0.8 shares a band with probability 0.998, one at 0.3 with 0.09
 SAMPLES = BANDS * ROWS
+LEAST_SHARED = SAMPLES // 2
+BLOCK_ROWS, BLOCK_BYTES = 512, 8 << 20  # of members of one key that are compared with as many others at a time
 
 # Document frequencies are counted by hash of the shingle.  A document of a
 # thousand shingles raises the floor of each counter by 0.4 % of the
@@ -195,38 +197,106 @@ def _stars(members: DataFrame) -> DataFrame:
     return members.join(leaders, "key").filter("cid <> b").select(F.col("cid").alias("a"), "b", "key")
 
 
-def links(classes: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of ``classes`` (cid, copies, bands, marks).
+def links(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b) of ``classes`` (cid, copies, bands, marks) with the leaders of their keys; the keys' other pairs.
 
     In each band, all classes are paired with the one of most copies: near
-    copies of a document are closest to it.  Pairs that share less than three
-    quarters of the samples are not sure to be answered by that leader; those
-    classes are keyed once more by each two bands that they share with it or
-    with others, and paired with the leader there.  Pairs that share less than
-    half of the samples are not near 0.8 (six standard deviations) and go.
+    copies of a document are closest to it.  Pairs that share less than half of
+    the samples are not near 0.8 (five standard deviations) and go.  The second
+    table, (key, cid), has the members but the leader of all keys that have
+    three or more: they are yet to be compared with each other.
     """
     members = classes.select("cid", "copies", F.explode("bands").alias("key"))
+    stars = written(_stars(members), "stars")
     marks = classes.select("cid", "marks")
-
-    def counted(pairs: DataFrame) -> DataFrame:
-        one, two = marks.withColumnsRenamed({"cid": "a", "marks": "m1"}), marks.withColumnsRenamed({"cid": "b", "marks": "m2"})
-        return pairs.join(one, "a").join(two, "b").withColumn("shared", _shared(F.col("m1"), F.col("m2"))).drop("m1", "m2")
-
-    first = written(counted(_stars(members).groupBy("a", "b").agg(F.collect_set("key").alias("keys"))), "stars")
-    loose = first.filter(F.col("shared") < SAMPLES * 3 // 4).select(F.col("a").alias("cid"), F.explode("keys").alias("key"))
-    open_bands = loose.groupBy("cid").agg(F.collect_set("key").alias("open"))
-    two = (
-        classes.join(open_bands, "cid")
-        .select("cid", "copies", F.explode("open").alias("one"), "bands")
-        .select("cid", "copies", "one", F.explode("bands").alias("two"))
-        .filter("one <> two")
-        .select(F.xxhash64(F.least("one", "two"), F.greatest("one", "two")).alias("key"), "cid", "copies")
-        .distinct()
+    one, two = marks.withColumnsRenamed({"cid": "a", "marks": "m1"}), marks.withColumnsRenamed({"cid": "b", "marks": "m2"})
+    pairs = stars.select("a", "b").distinct().join(one, "a").join(two, "b").filter(_shared(F.col("m1"), F.col("m2")) >= LEAST_SHARED)
+    several = stars.groupBy("key").count().filter("count > 1").select("key")
+    rest = stars.join(several, "key").select("key", F.col("a").alias("cid"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), rest
+
+
+def _blocks(rest: DataFrame, placed: DataFrame, features: DataFrame) -> DataFrame:
+    """The comparisons that stars leave: key, i, j, members (cid, root, away, bands, marks, found, weights).
+
+    ``rest`` (key, cid) are members of a key without its leader, ``placed``
+    (cid, root, bands, marks) has the groups that the stars made.  In a key
+    whose members are all in one group nothing is left to do.  Else those
+    outside its largest group are away, and are compared with all members.
+    Each member is in one block of its key, drawn by hash; comparison (i, j) is
+    of the away members of block i with the members of block j.
+    """
+    known = rest.join(placed.select("cid", "root"), "cid")
+    sizes = known.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    opened = (
+        sizes.groupBy("key")
+        .agg(F.max(F.struct("n", "root")).alias("home"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"))
+        .filter("roots > 1")
+        .select("key", "home.root", "n")
+        .withColumnRenamed("root", "home")
     )
-    second = counted(_stars(two).select("a", "b").distinct())
-    return first.select("a", "b", "shared").union(second.select("a", "b", "shared")).filter(
-        F.col("shared") >= SAMPLES // 2
-    ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    opened = written(known.join(opened, "key").withColumn("away", F.col("root") != F.col("home")).drop("home"), "open")
+    held = opened.join(placed.select("cid", "bands", "marks"), "cid").join(features, "cid")
+    bytes_of = held.groupBy("key").agg(F.sum(F.length("found")).alias("bytes"))
+    held = held.join(bytes_of, "key")
+    n_blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    held = held.withColumn("blocks", n_blocks).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    # only blocks with an away member have comparisons
+    sides = held.filter("away").select("key", "block").distinct().withColumnRenamed("block", "i")
+    member = F.struct("cid", "root", "bands", "marks", "found", "weights").alias("member")
+    right = held.join(sides, "key").select("key", "i", F.col("block").alias("j"), F.lit(False).alias("left"), "away", member)
+    left = held.filter("away").select(
+        "key", F.col("block").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("left"), "away", member
+    )
+    return left.union(right).groupBy("key", "i", "j").agg(F.collect_list(F.struct("left", "away", "member")).alias("members"))
+
+
+def _compared(batches: Iterator[pa.RecordBatch], similar: float) -> Iterator[pa.RecordBatch]:
+    """Links (a, b, similarity, root_a, root_b) of the comparisons of ``_blocks``.
+
+    Pairs of one group are passed over, also of groups that were joined here
+    just now.  A pair that shares several keys is compared in the first.
+    """
+    for batch in batches:
+        out = []
+        for key, members in zip(batch.column("key").to_pylist(), batch.column("members")):
+            rows = members.as_py()
+            one, two = ([r["member"] | {"away": r["away"]} for r in rows if r["left"] == side] for side in (True, False))
+            if not one or not two:
+                continue
+            read = lambda rows: [(np.frombuffer(r["found"], np.uint64), np.frombuffer(r["weights"], np.float32)) for r in rows]
+            f1, f2 = read(one), read(two)
+            total = np.array([w.sum(dtype=np.float64) for _, w in f2])
+            cids, away = np.array([r["cid"] for r in two]), np.array([r["away"] for r in two])
+            marks = np.frombuffer(b"".join(r["marks"] for r in two), np.uint8).reshape(-1, SAMPLES)
+            bands = np.array([r["bands"] for r in two], np.int64)
+            own = {r["root"]: r["root"] for r in (*one, *two)}
+            roots = np.array([r["root"] for r in two])
+            for r, (found, weights) in zip(one, f1):
+                own_bands = np.array(r["bands"], np.int64)
+                place = int(np.flatnonzero(own_bands == key)[0])
+                shared = (marks == np.frombuffer(r["marks"], np.uint8)).sum(axis=1)
+                weight = weights.sum(dtype=np.float64)
+                good = (shared >= LEAST_SHARED) & (roots != own[r["root"]]) & (~away | (cids > r["cid"]))
+                good &= np.minimum(total, weight) >= (similar - 1e-6) * np.maximum(total, weight)
+                good &= ~(bands[:, :place] == own_bands[:place]).any(axis=1)
+                at = np.flatnonzero(good)
+                for k in at[np.argsort(-shared[at], kind="stable")]:
+                    mine, other = own[r["root"]], roots[k]
+                    if mine == other:
+                        continue
+                    value = weighted_jaccard((found, weights), f2[k])
+                    if value >= similar:
+                        out.append((r["cid"], two[k]["cid"], value, r["root"], two[k]["root"]))
+                        roots[roots == other] = mine
+                        for root in own:
+                            if own[root] == other:
+                                own[root] = mine
+        columns = list(zip(*out)) or [()] * 5
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["a", "b", "similarity", "root_a", "root_b"]
+        )
 
 
 def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: float = SIMILAR) -> DataFrame:
@@ -234,8 +304,8 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", simila
 
     ``class_id`` is the least key among the documents of the same words;
     classes with a weighted Jaccard similarity of ``similar`` or more are
-    linked (``n_links``, of the class), and linked classes are one group,
-    named by its least key.  One row of each group is kept: the one with the
+    linked, and linked classes are one group, named by its least key
+    (``n_links`` are the links of the class that were needed to find it).  One row of each group is kept: the one with the
     least key, of repeated rows any one.  Documents without a word, null or
     empty, are groups of their own.  Null keys come first in order.  ``digest``
     is that of the text, to tell rows of one key apart.
@@ -262,8 +332,9 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", simila
         .withColumn("cid", F.col("rep.row")),
         "classes",
     )
-    pairs = written(links(classes.filter("bands is not null")), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(classes, "cid").select(
+    pairs, rest = (written(t, n) for t, n in zip(links(classes.filter("bands is not null")), ("pairs", "rest")))
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("cid")).union(rest.select("cid")).distinct()
+    wanted = asked.join(classes, "cid").select(
         "cid", F.col("rep.doc_id").alias("rep_id"), F.col("rep.digest").alias("rep_digest")
     )
     features = written(
@@ -282,13 +353,28 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", simila
         .filter(F.col("similarity") >= similar),
         "links",
     )
-    degree = linked.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count(F.lit(1)).alias("n_links"))
     roots = components(linked.select("a", "b")).withColumnRenamed("node", "cid")
+    starred = written(
+        classes.select("same", "cid", "copies", "rep", "bands", "marks")
+        .join(roots, "cid", "left")
+        .withColumn("root", F.coalesce("root", "cid")),
+        "starred",
+    )
+    compared = written(
+        _blocks(rest, starred, features).mapInArrow(
+            lambda batches: _compared(batches, similar), "a long, b long, similarity double, root_a long, root_b long"
+        ),
+        "compared",
+    )
+    both = linked.select("a", "b").union(compared.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
+    degree = both.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count(F.lit(1)).alias("n_links"))
+    joined = components(compared.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    joined = joined.select(F.col("node").alias("root"), F.col("root").alias("joined"))
     placed = (
-        classes.select("same", "cid", "copies", "rep")
+        starred.select("same", "cid", "copies", "rep", "root")
         .join(degree, "cid", "left")
-        .join(roots, "cid", "left")
-        .withColumn("root", F.coalesce("root", "cid"))
+        .join(joined, "root", "left")
+        .withColumn("root", F.coalesce("joined", "root"))
     )
     placed = written(placed, "placed")
     groups = placed.groupBy("root").agg(F.min("rep").alias("first"), F.sum("copies").alias("group_size"))

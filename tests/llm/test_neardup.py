@@ -87,3 +87,30 @@ def test_components_of_chains_stars_and_loops(rows):
     assert {out[i] for i in range(200, 260)} == {200}
     assert out[301] == 300
     assert components(rows([], "a long, b long")).count() == 0
+
+
+def test_close_pairs_inside_a_template_family_are_linked(rows):
+    """Several hundred documents of one template, 0.7 to 0.8 to each other, and close copies of some of them."""
+    rng = random.Random(29)
+    base = words(rng, 170)
+    family = [edited(rng, base, 0.0148) for _ in range(300)]
+    family += [w[:40] + ["near"] + w[41:] for w in rng.sample(family, 150)]
+    table = rows([(i, " ".join(w), "x", None) for i, w in enumerate(family)], SCHEMA)
+    out = {r.doc_id: r for r in N.near_groups(table).collect()}
+    idf = N.idf_table(table)
+    feats = [N.weighted(" ".join(w).encode(), idf) for w in family]
+    starts = np.concatenate(([0], np.cumsum([len(f) for f, _ in feats])[:-1]))
+    drawn = N.samples(np.concatenate([f for f, _ in feats]), np.concatenate([w for _, w in feats]), starts)
+    bands = np.stack([drawn[:, j :: N.ROWS] for j in range(N.ROWS)], axis=2)
+    n_close, lost, similar = 0, [], []
+    for a in range(len(family)):
+        for b in range(a):
+            value = N.weighted_jaccard(feats[a], feats[b])
+            similar.append(value)
+            if value >= N.SIMILAR and (bands[a] == bands[b]).all(axis=1).any():
+                n_close += 1
+                if out[a].group_id != out[b].group_id:
+                    lost.append((a, b))
+    assert 0.6 < np.mean(similar) < 0.79
+    assert n_close > 150
+    assert not lost
