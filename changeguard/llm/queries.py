@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeguard.llm import decontaminate, exactdup, html_text, language_model, neardup, packing, paragraphs, secret_scan, toxicity, warc
+from changeguard.llm import decontaminate, divergence, exactdup, html_text, language_model, neardup, packing, paragraphs, secret_scan, toxicity, warc
 from changeguard.llm.text import table
 
 
@@ -123,6 +123,10 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_decontaminate": op2_decontaminate,
@@ -134,6 +138,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op11_divergence": op11_divergence,
 }
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -176,4 +181,42 @@ ORACLES = {
             doc_id = max(doc_id) over g as kept, sha256(norm) as text_sha256
         from (select doc_id, {_NORM} as norm from documents) window g as (partition by norm)
     """,
+    "op11_divergence": r"""
+        with docs as (
+            select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+            from documents
+        ), uses as (
+            select row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs
+        ), kept as (
+            select lang, term, count(*) as c from uses group by all having count(distinct row) >= 30
+        ), sizes as (
+            select lang, count(*) as v, sum(c) as n from kept group by all
+        ), counts as (
+            select lang, source, term, count(*) as c from uses semi join kept using (lang, term) group by all
+        ), totals as (
+            select lang, source, sum(c) as n from counts group by all
+        ), groups as (
+            select g.lang, g.source, coalesce(t.n, 0) as n, coalesce(s.v, 0) as v, coalesce(s.n, 0) as ln
+            from (select distinct lang, source from docs) g
+            left join totals t using (lang, source) left join sizes s using (lang)
+        ), dense as (
+            select g.lang, g.source, k.term, coalesce(c.c, 0) as c,
+                1 + (1000000000::hugeint * (coalesce(c.c, 0) + 5)) // (g.n + 5 * g.v) as p,
+                1 + (1000000000::hugeint * (k.c + 5)) // (g.ln + 5 * g.v) as q
+            from groups g join kept k using (lang) left join counts c using (lang, source, term)
+        ), sums as (
+            select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+            from dense a join dense b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+        ), found as (
+            select a.lang, a.source, 'pair' as part, b.source as item, coalesce(s.value, 0)::bigint as value
+            from groups a join groups b on a.lang = b.lang and a.source <> b.source
+            left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source
+            union all
+            select lang, source, 'term', term, (p - q)::bigint from dense where c > 0 and p > q
+        ), ranked as (
+            select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from found
+        )
+        select * from ranked where part = 'pair' or rank <= 50
+    """,
 }
