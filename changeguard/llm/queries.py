@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeguard.llm import decontaminate, divergence, exactdup, html_text, language_model, neardup, packing, paragraphs, secret_scan, toxicity, warc
+from changeguard.llm import decontaminate, divergence, exactdup, html_text, language_model, neardup, packing, paragraphs, secret_scan, toxicity, turns, warc
 from changeguard.llm.text import table
 
 
@@ -127,6 +127,22 @@ def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with some rows dropped, emptied, cut, repeated or given to the user, by a checksum of their place."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    draw = F.crc32(F.encode(F.concat(space("conv_id"), F.lit(":"), space("turn")), "utf-8")) % 20
+    rows = conversations.select("conv_id", "turn", space("role").alias("role"), space("text").alias("text"), draw.alias("draw")).filter("draw <> 0")
+    text = F.when(F.col("draw") == 1, "").when(F.col("draw") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    times = F.array_repeat(F.lit(0), F.when(F.col("draw") == 3, 2).otherwise(1))
+    role = F.when(F.col("draw") == 4, "user").otherwise(F.col("role"))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("copy")).drop("copy")
+
+
+def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    return turns.repair(damaged(rows), rows.select("conv_id"))
+
+
 QUERIES = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_decontaminate": op2_decontaminate,
@@ -139,6 +155,7 @@ QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op11_divergence": op11_divergence,
+    "op12_turn_repair": op12_turn_repair,
 }
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
