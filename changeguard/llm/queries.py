@@ -236,4 +236,76 @@ ORACLES = {
         )
         select * from ranked where part = 'pair' or rank <= 50
     """,
+    "op12_turn_repair": r"""
+        with recursive keyed as (
+            select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key
+            from conversations
+        ), drawn as (
+            select *, xor(4294967295, list_reduce(
+                list_prepend(4294967295::bigint, list_transform(string_split(key, ''), lambda x: ascii(x)::bigint)),
+                lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+                    lambda c, z: xor(c >> 1, 3988292384 * (c & 1)) + z))) % 20 as draw
+            from keyed
+        ), rows as (
+            select conv_id, turn, case when draw = 4 then 'user' else role end as role,
+                case draw when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+                unnest(range(case when draw = 3 then 2 else 1 end)) as copy
+            from drawn where draw <> 0
+        ), placed as (
+            select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(length(role) || ':' || role || text)) as pos,
+                rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as cut
+            from rows
+        ), faults as (
+            select *, left(role, 1) as initial, coalesce(lead(pos) over c > 0, false) as more,
+                case when cut = '' then 'blank'
+                    when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'duplicate'
+                    when right(cut, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+                coalesce(lag(left(role, 1)) over c || left(role, 1) not in ('su', 'ua', 'au'), false) as illegal
+            from placed window c as (partition by conv_id order by pos)
+        ), way as (
+            -- states: 0 nothing yet, 1 after system, 2 after user, 3 after assistant
+            select conv_id, 0 as pos, 0 as state, 0 as cost, '' as audit, '' as lines from faults where pos = 1
+            union all
+            select conv_id, pos, state, best.cost, best.audit, best.lines from (
+                select w.conv_id, f.pos, e.state, min({cost: w.cost + e.cost, audit: w.audit || e.audit, lines: w.lines || e.lines}) as best
+                from way w join faults f on f.conv_id is not distinct from w.conv_id and f.pos = w.pos + 1,
+                lateral (
+                    -- turns put in before the row lead from w.state to i.state
+                    select i.state, i.cost + 4 as cost, i.audit || 'D' as audit, i.lines as lines
+                    from (values (0, 0, 0, '', ''), (0, 2, 3, 'I', chr(10) || 'user:'), (0, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+                        (1, 1, 0, '', ''), (1, 2, 3, 'I', chr(10) || 'user:'), (1, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+                        (2, 2, 0, '', ''), (2, 3, 3, 'I', chr(10) || 'assistant:'), (3, 3, 0, '', ''), (3, 2, 3, 'I', chr(10) || 'user:')
+                    ) i(from_state, state, cost, audit, lines) where i.from_state = w.state
+                    union all
+                    select case when t.edit = 'K' then case f.initial when 's' then 1 when 'u' then 2 else 3 end when i.state = 2 then 3 else 2 end,
+                        i.cost + t.cost + case when f.fault = 'truncated' then 3 else 0 end, i.audit || t.edit,
+                        i.lines || chr(10) || case when t.edit = 'K' then f.role when i.state = 2 then 'assistant' else 'user' end || ':' || f.text
+                    from (values (0, 0, 0, '', ''), (0, 2, 3, 'I', chr(10) || 'user:'), (0, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+                        (1, 1, 0, '', ''), (1, 2, 3, 'I', chr(10) || 'user:'), (1, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+                        (2, 2, 0, '', ''), (2, 3, 3, 'I', chr(10) || 'assistant:'), (3, 3, 0, '', ''), (3, 2, 3, 'I', chr(10) || 'user:')
+                    ) i(from_state, state, cost, audit, lines), (values ('K', 0), ('R', 3)) t(edit, cost)
+                    where i.from_state = w.state and f.fault not in ('blank', 'duplicate')
+                        and (t.edit = 'R' or (f.initial = 's' and i.state = 0) or (f.initial = 'u' and i.state <> 2) or (f.initial = 'a' and i.state = 2))
+                ) e
+                group by w.conv_id, f.pos, e.state
+            )
+        ), ends as (
+            select w.conv_id, min({cost: w.cost + e.cost, audit: w.audit || e.audit, lines: w.lines || e.lines}) as best
+            from way w join faults f on f.conv_id is not distinct from w.conv_id and f.pos = w.pos and not f.more
+            join (values (0, 0, '', ''), (1, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (2, 3, 'I', chr(10) || 'assistant:'), (3, 0, '', '')
+            ) e(state, cost, audit, lines) on e.state = w.state
+            group by w.conv_id
+        ), counts as (
+            select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+                count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated, count(*) filter (illegal) as illegal
+            from faults group by conv_id
+        )
+        select k.conv_id, coalesce(c.gaps, 0)::bigint as gaps, coalesce(c.blank, 0) as blank, coalesce(c.duplicate, 0) as duplicate,
+            coalesce(c.truncated, 0) as truncated, coalesce(c.illegal, 0) as illegal, coalesce(e.best.cost, 0)::bigint as cost,
+            coalesce(e.best.audit, '') as audit, sha256(coalesce(substr(e.best.lines, 2), '')) as repaired_sha256
+        from (select distinct conv_id from conversations) k
+        left join counts c on c.conv_id is not distinct from k.conv_id
+        left join ends e on e.conv_id is not distinct from k.conv_id
+    """,
 }
