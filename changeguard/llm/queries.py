@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeguard.llm import decontaminate, divergence, exactdup, html_text, language_model, neardup, packing, paragraphs, secret_scan, toxicity, turns, warc
+from changeguard.llm import decontaminate, divergence, exactdup, html_text, language_model, neardup, ngram_join, packing, paragraphs, secret_scan, toxicity, turns, warc
 from changeguard.llm.text import table
 
 
@@ -143,6 +143,10 @@ def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
     return turns.repair(damaged(rows), rows.select("conv_id"))
 
 
+def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_decontaminate": op2_decontaminate,
@@ -156,6 +160,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op11_divergence": op11_divergence,
     "op12_turn_repair": op12_turn_repair,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -308,4 +313,29 @@ ORACLES = {
         left join counts c on c.conv_id is not distinct from k.conv_id
         left join ends e on e.conv_id is not distinct from k.conv_id
     """,
+    "op13_ngram_join": r"""
+        with recursive docs as (
+            select row_number() over () as row, doc_id,
+                list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+            from documents
+        ), sets as (
+            select row, doc_id, case when len(words) = 0 then [] when len(words) < 4 then [array_to_string(words, ' ')]
+                else list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i : i + 3], ' '))) end as grams
+            from docs
+        ), classes as (
+            select min(row) as cid, min(doc_id) as least, list_sort(grams) as grams, len(grams) as n from sets where len(grams) > 0 group by list_sort(grams), len(grams)
+        ), each as (
+            select cid, n, unnest(grams) as gram from classes
+        ), links as (
+            select a.cid as one, b.cid as two from each a join each b on a.gram = b.gram and a.cid <> b.cid
+            group by a.cid, b.cid, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), reached as (
+            select cid, cid as other from classes union select r.cid, l.two from reached r join links l on l.one = r.other
+        ), named as (
+            select r.cid, min(c.least) as component_id from reached r join classes c on c.cid = r.other group by r.cid
+        )
+        select s.doc_id, len(s.grams)::bigint as n_shingles, coalesce(n.component_id, s.doc_id) as component_id
+        from sets s left join classes c on c.grams = list_sort(s.grams) left join named n on n.cid = c.cid
+    """,
 }
