@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,8 +90,25 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{_shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# A job of so many seconds has left shuffle files that are worth a collection.
+COLLECT_AFTER = 1.0
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let executors delete the shuffle files of finished jobs.
+
+    They go once the driver's garbage collector finds that no plan holds them.
+    A driver that makes little garbage would keep all of them to the end of a
+    long run; here their jobs' rows are in a table.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: lineage is cut there."""
     folder = shared_folder(df.sparkSession, name)
+    began = time.monotonic()
     df.write.parquet(folder)
+    if time.monotonic() - began > COLLECT_AFTER:
+        release_shuffles(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
