@@ -78,7 +78,7 @@ class Chunks(dict):
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= self.LIMIT:
             self.clear()
-        if max(chunk) < "̀" and "İ" not in chunk:
+        if chunk.isascii() or (max(chunk) < "̀" and "İ" not in chunk):
             low = chunk.lower()
             core = low.rstrip(self.MARKS)
             if core.isalpha():
@@ -91,13 +91,13 @@ class Chunks(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
-        if not _SPLITS_ALIKE.isdisjoint(text):
+        if any(c in text for c in _SPLITS_ALIKE):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, ID_KIND).tobytes()
         return b"".join(map(self.__getitem__, text.split()))
 
 
 # Python takes these for white space, the vocabulary's pattern does not.
-_SPLITS_ALIKE = frozenset("\x1c\x1d\x1e\x1f")
+_SPLITS_ALIKE = "\x1c\x1d\x1e\x1f"
 
 
 @lru_cache(maxsize=2)
@@ -147,9 +147,10 @@ def curve_keys(ids: list[np.ndarray]) -> np.ndarray:
     table, points = directions(), np.zeros((len(ids), DIMS), np.float32)
     for k, one in enumerate(ids):
         if len(one):
-            token, count = np.unique(one, return_counts=True)
-            size = count.astype(np.float32)
-            points[k] = size @ table[token] / np.sqrt(float(size @ size))
+            ordered = np.sort(one)
+            new = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+            size = np.diff(np.append(new, len(ordered))).astype(np.float32)
+            points[k] = size @ table[ordered[new]] / np.sqrt(float(size @ size))
     # tanh is the usual close form of the normal distribution function
     even = 0.5 * (1 + np.tanh(0.7978845608 * (points + 0.044715 * points**3)))
     return place_on_curve(np.minimum((even * (1 << BITS)).astype(np.int64), (1 << BITS) - 1))
