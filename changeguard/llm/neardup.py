@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeguard.llm.components import components
-from changeguard.llm.text import byte_texts, mixed, shingles, word_hashes
+from changeguard.llm.text import array_views, byte_texts, mixed, shingles, word_hashes
 from changeguard.session import written
 
 SHINGLE = 5
@@ -167,7 +167,7 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        read = lambda name, kind: [np.frombuffer(x, kind) for x in batch.column(name).to_pylist()]  # noqa: B023, E731
+        read = lambda name, kind: array_views(batch.column(name), kind)  # noqa: B023, E731
         one = zip(read("found_a", np.uint64), read("weights_a", np.float32))
         two = zip(read("found_b", np.uint64), read("weights_b", np.float32))
         similar = [weighted_jaccard(a, b) for a, b in zip(one, two)]

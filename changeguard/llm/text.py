@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -43,15 +45,45 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
-def byte_texts(column: pa.Array) -> list[bytes]:
-    """An Arrow text column as UTF-8 bytes; null as an empty text."""
-    return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
+def _offsets(column: pa.Array) -> np.ndarray:
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    offsets = np.frombuffer(column.buffers()[1] or bytes(8), np.int64 if wide else np.int32)
+    return offsets[column.offset : column.offset + len(column) + 1].astype(np.int64)
+
+
+class byte_texts(Sequence):
+    """An Arrow text column as UTF-8 bytes; null as an empty text.  Texts are copied one at a time, when they are asked for."""
+
+    def __init__(self, column: pa.Array):
+        self.offsets = _offsets(column) if len(column) else np.zeros(1, np.int64)
+        self.data = memoryview(column.buffers()[2] or b"")
+        if column.null_count:  # a null may have bytes behind it
+            self.ends = np.where(column.is_null().to_numpy(zero_copy_only=False), self.offsets[:-1], self.offsets[1:])
+        else:
+            self.ends = self.offsets[1:]
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def __getitem__(self, i: int) -> bytes:
+        if not -len(self) <= i < len(self):
+            raise IndexError(i)
+        return bytes(self.data[self.offsets[i - (i < 0)] : self.ends[i]])
+
+
+def array_views(column: pa.Array, kind: type) -> list[np.ndarray]:
+    """A binary column of packed numbers as arrays over the column's own memory."""
+    if not len(column):
+        return []
+    offsets = _offsets(column)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return [data[a:b].view(kind) for a, b in zip(offsets[:-1], offsets[1:])]
 
 
 class WordHashes(dict):
     """64-bit hashes of words, kept for the words met last; the same in every process."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
