@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeguard.llm.components import components
-from changeguard.llm.text import WORD_HASHES, byte_texts, shingles
+from changeguard.llm.text import WORD_HASHES, array_views, byte_texts, shingles
 from changeguard.session import written
 
 SIZE = 4
@@ -102,7 +102,7 @@ def _signed(batches: Iterator[pa.RecordBatch], counts: np.ndarray, size: int, pe
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups (gid, n, copies, prefix) to one row per n-gram of the prefix: gram, place, gid, n, copies."""
     for batch in batches:
-        fronts = [np.frombuffer(p, np.int64) for p in batch.column("prefix").to_pylist()]
+        fronts = array_views(batch.column("prefix"), np.int64)
         sizes = np.array([len(f) for f in fronts], np.int64)
         at = np.repeat(np.arange(len(fronts)), sizes)
         place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -167,8 +167,7 @@ def _common(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
     """Pairs (a, b, grams_a, grams_b) to those that are similar enough."""
     for batch in batches:
         good = []
-        for one, two in zip(batch.column("grams_a").to_pylist(), batch.column("grams_b").to_pylist()):
-            x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+        for x, y in zip(array_views(batch.column("grams_a"), np.uint64), array_views(batch.column("grams_b"), np.uint64)):
             both = np.concatenate([x, y])
             both.sort(kind="stable")
             shared = int((both[1:] == both[:-1]).sum())
@@ -262,6 +261,7 @@ def link_components(docs: DataFrame, text: str = "text", key: str = "doc_id", si
 
     def sets_of(pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(grouped, "cid")
+        asked = written(asked.select("cid", "same", "of"), "asked")  # a table, so that Spark knows its size before it deals out texts
         of = asked.select(F.col("of").alias("__of")).distinct()
         found = rows.join(of, F.col("doc_id").eqNullSafe(F.col("__of")), "left_semi").select("text")
         found = found.mapInArrow(lambda batches: _sets(batches, size), "same binary, grams binary")
