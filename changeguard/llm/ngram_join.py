@@ -5,7 +5,8 @@ hash buckets first.  Two sets can be similar enough only if they share an
 n-gram near the beginning of both (their prefixes), at places that leave room
 for the overlap they need.  Equal sets are one class; classes of one size and
 one prefix are one group.  Group pairs are filtered on sizes and places, those
-that remain are expanded to classes and verified on whole sets.
+that remain are expanded to classes, and class pairs whose profiles leave room
+for the overlap are verified on whole sets.
 
 Links are looked for in two steps, since only components are asked for.
 First every group meets the leader of each of its n-grams; that makes as many
@@ -82,10 +83,22 @@ def prefix(found: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> np.
     return found[np.lexsort((found, counts[_bucket(found, len(counts))]))[:size]]
 
 
+def profile(found: np.ndarray) -> bytes:
+    """How many n-grams of a set have each first byte: one byte a count, or four where a count needs them."""
+    counts = np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=256)
+    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
+
+
+def most_common(one: bytes, two: bytes) -> int:
+    """The most n-grams that two sets with these profiles can have in common."""
+    read = lambda p: np.frombuffer(p, np.uint8 if len(p) == 256 else np.uint32).astype(np.int64)
+    return int(np.minimum(read(one), read(two)).sum())
+
+
 def _signed(batches: Iterator[pa.RecordBatch], counts: np.ndarray, size: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Adds to (doc_id, text): n, same (hash of the set), beginning (hash of size and prefix), prefix; no words: nulls."""
+    """Adds to (doc_id, text): n, same (hash of the set), beginning (hash of size and prefix), prefix, profile; no words: nulls."""
     for batch in batches:
-        n, same, beginning, prefixes = [], [], [], []
+        n, same, beginning, prefixes, profiles = [], [], [], [], []
         for text in byte_texts(batch.column("text")):
             found = grams(text, size)
             n.append(len(found))
@@ -93,9 +106,10 @@ def _signed(batches: Iterator[pa.RecordBatch], counts: np.ndarray, size: int, pe
             same.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
             beginning.append(None if front is None else xxhash.xxh3_128_digest(len(found).to_bytes(8, "little") + front))
             prefixes.append(front)
+            profiles.append(profile(found) if len(found) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), *(pa.array(c, pa.binary()) for c in (same, beginning, prefixes))],
-            names=["doc_id", "n", "same", "beginning", "prefix"],
+            [batch.column("doc_id"), pa.array(n, pa.int64()), *(pa.array(c, pa.binary()) for c in (same, beginning, prefixes, profiles))],
+            names=["doc_id", "n", "same", "beginning", "prefix", "profile"],
         )
 
 
@@ -163,6 +177,22 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array(same, pa.binary()), pa.array(found, pa.binary())], names=["same", "grams"])
 
 
+def _possible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, n_a, profile_a, n_b, profile_b) to those whose profiles leave room for the overlap they need."""
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("n_a", "profile_a", "n_b", "profile_b"))
+        good = [most_common(p, q) >= least_overlap(x, y, percent) for x, p, y, q in zip(*columns)]
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+
+def _plausible(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (a, b) without those that counts of their n-grams by first byte rule out; few bytes a class travel for it."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    known = signed.select("row", "n", "profile").join(asked, "row")
+    one, two = (known.select(F.col("row").alias(c), F.col("n").alias(f"n_{c}"), F.col("profile").alias(f"profile_{c}")) for c in ("a", "b"))
+    return pairs.join(one, "a").join(two, "b").mapInArrow(lambda batches: _possible(batches, percent), "a long, b long")
+
+
 def _common(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, grams_a, grams_b) to those that are similar enough."""
     for batch in batches:
@@ -237,7 +267,7 @@ def link_components(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     counts = frequency_table(rows.select("text"), size, buckets)
     kind = docs.schema[key].dataType.simpleString()
     signed = rows.mapInArrow(
-        lambda batches: _signed(batches, counts, size, percent), f"doc_id {kind}, n long, same binary, beginning binary, prefix binary"
+        lambda batches: _signed(batches, counts, size, percent), f"doc_id {kind}, n long, same binary, beginning binary, prefix binary, profile binary"
     )
     signed = written(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
     wordy = signed.filter("n > 0").groupBy("same")
@@ -268,7 +298,8 @@ def link_components(docs: DataFrame, text: str = "text", key: str = "doc_id", si
         return written(found.join(asked.select("same", "cid"), "same").dropDuplicates(["cid"]).select("cid", "grams"), "sets")
 
     stars = written(_star_pairs(led, grouped, groups, percent), "star_pairs")
-    first = written(_linked(stars, sets_of(stars), percent), "star_links")
+    likely = written(_plausible(stars, signed, percent), "likely_pairs")
+    first = written(_linked(likely, sets_of(likely), percent), "star_links")
     roots = components(first).withColumnRenamed("node", "cid")
     placed = grouped.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     placed = written(placed, "placed")
@@ -278,6 +309,7 @@ def link_components(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     one, two = (members.select(F.col("part").alias(c), F.col("cid").alias(f"cid_{c}")) for c in ("a", "b"))
     rest = found.join(one, "a").join(two, "b").select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b"))
     rest = written(rest.join(stars, ["a", "b"], "left_anti"), "rest_pairs")
+    rest = written(_plausible(rest, signed, percent), "likely_pairs")
     second = _linked(rest, sets_of(rest), percent)
     root_of = lambda c: placed.select(F.col("cid").alias(c), F.col("root").alias(f"root_{c}"))
     second = second.join(root_of("a"), "a").join(root_of("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))

@@ -113,3 +113,11 @@ def test_places_leave_out_no_pair():
         if 100 * shared >= 85 * (len(one) + len(two) - shared):
             a, b = J.prefix(one, counts).tolist(), J.prefix(two, counts).tolist()
             assert any(J.may_link(len(one), i, len(two), b.index(g)) for i, g in enumerate(a) if g in b)
+
+
+def test_profiles_never_rule_out_common_grams():
+    rng = np.random.default_rng(8)
+    for scale in (40, 4000, 200_000):
+        pool = rng.integers(1, 1 << 63, scale, dtype=np.uint64)
+        one, two = (np.unique(rng.choice(pool, scale)) for _ in range(2))
+        assert J.most_common(J.profile(one), J.profile(two)) >= len(np.intersect1d(one, two))
