@@ -214,6 +214,9 @@ DEAL_HASH = ("select *, sha256(to_json({'amount': amount::varchar, 'id': id, 'mo
              "strftime(modified_time, '%Y-%m-%dT%H:%M:%S.%fZ'), 'stage': stage})::varchar) h from deals")
 TIMELINE_KIND = ("case outcome when 'applied' then 'governed_change' when 'refused' then 'refusal' "
                  "else 'unresolved_write' end")
+WINDOWS = f"""select module, {iso("date_trunc('hour', modified_at)")} window_start,
+        count(*) filter (governed) governed, count(*) filter (not governed) ungoverned from scanned
+        group by 1, 2"""
 TOTALS = ("count(*) filter (verdict = 'landed') landed, count(*) filter (verdict = 'not_landed') not_landed, "
           "count(*) filter (verdict = 'unknown') as \"unknown\"")
 OUTCOMES = ", ".join(f"count(*) filter (outcome = '{o}') {o}" for o in ("applied", "refused", "unresolved", "reconciled"))
@@ -397,10 +400,17 @@ ORACLES = {
           (select count(*) from ledger where turn = 6) unmatchable_ledger_entries from recent""",
     "g10_ungoverned_by_day": """select module, modified_at::date::varchar as day, count(*) filter (governed) governed,
         count(*) filter (not governed) ungoverned from scanned group by 1, 2""",
-    "x1_stream_changes": "select distinct change_ref, governed from scanned",
-    "x6_window_counts": f"""select module, {iso("date_trunc('hour', modified_at)")} window_start,
-        count(*) filter (governed) governed, count(*) filter (not governed) ungoverned from scanned
-        group by 1, 2""",
+    "x1_stream_changes": """select change_ref, 1 as occurrence, governed from scanned where modified_at is not null
+        group by change_ref, governed
+        union all select change_ref, row_number() over (partition by change_ref order by event_id)::int, governed
+        from scanned where modified_at is null""",
+    "x3_dedupe_delivered": """with n as (select change_ref, event_id % 3 > 0 as seen, modified_at is null as bare from feed),
+        counts as (select change_ref, count(*) total, count(*) filter (seen) seen, bool_or(bare) bare from n group by 1)
+        select change_ref, o::int as occurrence from (
+          select change_ref, unnest(case when bare then range(seen + 1, total + 1) when seen = 0 then [1] else [] end) o
+          from counts)""",
+    "x6_window_counts": WINDOWS,
+    "x6_window_stream": WINDOWS,
     "g13_reconcile": "select segment, seq, command, id, role, basis, verdict, merge_state from verdicts",
     "g13_totals": f"select {TOTALS}, 0::bigint unreconcilable, 0::bigint already_committed from verdicts",
     "a14_entry_resolved": """select segment, seq, bool_or(verdict in ('landed', 'not_landed')) resolved,

@@ -515,16 +515,39 @@ def g10_ungoverned_by_day(s, d):
     return changes.changes_by_day(found).withColumn("day", F.col("day").cast("string"))
 
 
+def _event_stream(s, d):
+    raw = s.read.parquet(f"{d}/events.parquet").schema
+    stream = change_stream.with_poll(s.readStream.schema(raw).parquet(f"{d}/events*.parquet"))
+    return V.changes_of(stream.withColumn("ts", F.col("ts").cast("timestamp")))
+
+
 @query
 def x1_stream_changes(s, d):
-    """The scan as a stream run to its end; a change is delivered once."""
+    """The scan as a stream run to its end; a change is delivered once, equal unreadable ones each."""
     folder = shared_folder(s, "stream")
-    raw = s.read.parquet(f"{d}/events.parquet").schema
-    stream = s.readStream.schema(raw).parquet(f"{d}/events*.parquet")
-    feed = V.changes_of(stream.withColumn("ts", F.col("ts").cast("timestamp")))
-    run = change_stream.stream_changes(feed, lambda spark: (V.ledger(spark, d), None), f"{folder}/sink", f"{folder}/position")
+    run = change_stream.stream_changes(_event_stream(s, d), lambda spark: (V.ledger(spark, d), None), f"{folder}/sink",
+                                       f"{folder}/position")
+    run.awaitTermination()
+    return change_stream.delivered_changes(s, f"{folder}/sink").select("change_ref", "occurrence", "governed")
+
+
+@query
+def x3_dedupe_delivered(s, d):
+    """The whole feed against an earlier poll that returned two events in three."""
+    feed = changes.read_changes(V.changes(s, d))
+    before = change_stream.numbered(feed.where("event_id % 3 > 0")).select("change_ref", "occurrence")
+    fresh = change_stream.dedupe_delivered(feed, before.distinct())
+    return fresh.select("change_ref", "occurrence")
+
+
+@query
+def x6_window_stream(s, d):
+    """The window counts as a stream run to its end; the rows of x6_window_counts."""
+    folder = shared_folder(s, "windows")
+    run = change_stream.stream_window_counts(_event_stream(s, d), lambda spark: (V.ledger(spark, d), None),
+                                             f"{folder}/sink", f"{folder}/position")
     run.awaitTermination()
-    return change_stream.delivered_changes(s, f"{folder}/sink").select("change_ref", "governed")
+    return change_stream.counted_windows(s, f"{folder}/sink").withColumn("window_start", iso("window_start"))
 
 
 @query

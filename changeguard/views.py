@@ -109,7 +109,7 @@ def changes_of(events: DataFrame) -> DataFrame:
            .otherwise(iso_text(second)))
     return events.select(
         "event_id", _event_module().alias("module"), text("user_id").alias("id"), raw.alias("modified_raw"),
-        F.col("event_type").alias("modified_by"))
+        F.col("event_type").alias("modified_by"), *[c for c in ("poll",) if c in events.columns])
 
 
 def _event_module() -> Column:
