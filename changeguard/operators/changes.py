@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from changeguard.functions.scalars import change_ref, iso_utc
 from changeguard.operators.ledgers import covers_from, governed_keys, unmatchable_count
-from changeguard.operators.ranking import top_per_group
+from changeguard.operators.ranking import GROUP_LIMIT, top_per_group
 from changeguard.operators.scans import changed_since, exclude_delivered
+from changeguard.operators.selection import first_per_group
 
 
 def read_changes(feed: DataFrame, raw: str = "modified_raw") -> DataFrame:
@@ -25,7 +26,13 @@ def split_unreadable(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def cap_per_module(changes: DataFrame, cap: int) -> tuple[DataFrame, DataFrame]:
-    """The oldest ``cap`` changes of each module, and whether more wait."""
+    """The oldest ``cap`` changes of each module, and whether more wait.
+
+    A large cap is cut by counting ranges of time, so no task ranks a module.
+    """
+    if cap >= GROUP_LIMIT:
+        keys = [("modified_at", False), ("id", False), ("change_ref", False)]
+        return first_per_group(changes, ["module"], keys, cap, nulls_first=True, small=max(cap // 8, GROUP_LIMIT))
     order = [F.col("modified_at").asc_nulls_first(), F.col("id"), F.col("change_ref")]
     ranked = top_per_group(changes, ["module"], order, cap + 1)
     truncated = ranked.groupBy("module").agg((F.max("rank") > cap).alias("truncated"))

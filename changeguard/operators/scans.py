@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from changeguard.errors import SetTooLarge
 from changeguard.functions.scalars import as_column, days_ago, today
 from changeguard.operators.ranking import top_per_group
+from changeguard.operators.selection import rows_between
 
 # Default columns per module when a caller names none.
 DEFAULT_FIELDS = {
@@ -79,14 +80,25 @@ def page(df: DataFrame, order: Sequence[Column], offset: int, n: int) -> DataFra
     return df.orderBy(*order).offset(offset).limit(n)
 
 
+# Pages that begin further on are found by counting ranges of the sort key.
+SEEK_FROM = 10_000
+
+
 def list_records(df: DataFrame, fields: Sequence[str], sort_by: str, desc: bool = True,
-                 number: int = 1, per_page: int = 50) -> DataFrame:
-    """One page of a table with ``more_records`` on every row."""
+                 number: int = 1, per_page: int = 50, seek_from: int = SEEK_FROM) -> DataFrame:
+    """One page of a table with ``more_records`` on every row.
+
+    A page far into the table costs a few counting passes and a sort of the
+    range that holds it, instead of all the pages before it.
+    """
     if per_page < 1 or number < 1:
         raise ValueError("pages have at least one row and are numbered from 1")
     key = F.col(sort_by).desc_nulls_last() if desc else F.col(sort_by).asc_nulls_last()
-    rows = page(df.select(*dict.fromkeys([*fields, sort_by, "id"])), [key, F.col("id")],
-                (number - 1) * per_page, per_page + 1)
+    kept, offset = df.select(*dict.fromkeys([*fields, sort_by, "id"])), (number - 1) * per_page
+    if offset < seek_from:
+        rows = page(kept, [key, F.col("id")], offset, per_page + 1)
+    else:
+        rows = rows_between(kept, [(sort_by, desc), ("id", False)], offset, offset + per_page + 1, small=seek_from)
     # at most per_page + 1 rows are left here
     position = F.row_number().over(Window.orderBy(key, F.col("id")))
     more = F.max("_position").over(Window.partitionBy()) > per_page

@@ -255,6 +255,10 @@ ORACLES = {
           coalesce(sum(n) filter (coalesce(value, '') = ''), 0)::bigint blanks,
           count(value) distinct_values, any_value(top_values) top_values
         from counted c left join top t on t.field = c.field group by c.field""",
+    "s4_deep_page": """with p as (select count(*) * 9 // 10 // 50 * 50 as skip from deals),
+        r as (select id, stage, priority, row_number() over (order by amount desc nulls last, id) - 1 as place,
+          count(*) over () as total from deals)
+        select id, stage, priority, total > skip + 50 as more_records from r, p where place >= skip and place < skip + 50""",
     "s9_default_projection": "select id, owner_id, name, segment, balance::varchar balance from accounts",
     "s12_append_ledger": """with sizes as (select count(*) n from ledger)
         select s::bigint as segment, true as ok, least(5000, n - s * 5000)::bigint as entries
@@ -326,6 +330,17 @@ ORACLES = {
         from deals d left join deals_now n on n.id = d.id
         where n.id is null or n.stage <> d.stage or n.modified_time <> d.modified_time""",
     "a1_fingerprint": f"select count(*) records, 0::bigint null_ids, {digest('Deals', 'h')} digest from ({DEAL_HASH})",
+    "a1_merkle_tree": f"""with leaf as (select md5(id) || ':' || h as line from ({DEAL_HASH})),
+        two as (select line[1:2] as node, count(*) records, sha256(string_agg(line, chr(10) order by line)) as hash
+          from leaf group by 1),
+        one as (select node[1:1] as node, sum(records)::bigint as records,
+          sha256(string_agg(node[2:2] || ':' || records || ':' || hash, chr(10) order by node)) as hash from two group by node[1:1])
+        select 2 as level, * from two union all select 1, * from one
+        union all select 0, '', sum(records)::bigint,
+          sha256(string_agg(node || ':' || records || ':' || hash, chr(10) order by node)) from one""",
+    "a1_merkle_drift": """select md5(d.id)[1:3] as bucket, d.id, case when n.id is null then 'removed' else 'changed' end drift
+        from deals d left join deals_now n on n.id = d.id
+        where n.id is null or n.stage <> d.stage or n.modified_time <> d.modified_time""",
     "a1_fingerprint_by_owner": f"""select owner_id, count(*) records, 0::bigint null_ids, {digest('Deals', 'h')} digest
         from ({DEAL_HASH}) group by owner_id""",
     "a2_ownership_fingerprint": f"""select count(*) records, {digest('ownership', 'h')} digest from
@@ -400,6 +415,10 @@ ORACLES = {
           (select count(*) from ledger where turn = 6) unmatchable_ledger_entries from recent""",
     "g10_ungoverned_by_day": """select module, modified_at::date::varchar as day, count(*) filter (governed) governed,
         count(*) filter (not governed) ungoverned from scanned group by 1, 2""",
+    "k3_large_cap": """with cap as (select greatest(count(*) // 6, 1000) as n from feed),
+        r as (select module, change_ref, row_number() over (partition by module order by modified_at nulls first,
+          user_id, change_ref) as place, count(*) over (partition by module) as total from (select *, id as user_id from feed))
+        select module, change_ref, total > n as truncated from r, cap where place <= n""",
     "x1_stream_changes": """select change_ref, 1 as occurrence, governed from scanned where modified_at is not null
         group by change_ref, governed
         union all select change_ref, row_number() over (partition by change_ref order by event_id)::int, governed

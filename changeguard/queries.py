@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from changeguard import views as V
 from changeguard.errors import PlanMismatch
 from changeguard.functions import details, scalars
-from changeguard.operators import (chains, changes, custody, fingerprints, ledgers, matching, mutations, quality,
+from changeguard.operators import (chains, changes, custody, fingerprints, ledgers, matching, merkle, mutations, quality,
                                    reconcile, scans)
 from changeguard.plans import audit, delete, handover, merge, rollback, update, upsert
 from changeguard.session import configure, shared_folder
@@ -71,6 +71,14 @@ def s4_list_records(s, d):
     return scans.list_records(V.deals(s, d), ["id", "stage", "priority"], "modified_time", True, 3, 50)
 
 
+@query
+def s4_deep_page(s, d):
+    """A page in the last tenth of the table, found by seeking."""
+    deals = V.deals(s, d)
+    number = deals.count() * 9 // 10 // 50 + 1
+    return scans.list_records(deals, ["id", "stage", "priority"], "amount", True, number, 50, seek_from=1000)
+
+
 @query
 def s5_search(s, d):
     return scans.search({"deals": V.deals(s, d)}, """
@@ -319,6 +327,17 @@ def a1_fingerprint(s, d):
     return fingerprints.state_fingerprint(V.deals(s, d), "Deals", GUARD)
 
 
+@query
+def a1_merkle_tree(s, d):
+    return merkle.merkle_tree(V.deals(s, d), GUARD, depth=2)
+
+
+@query
+def a1_merkle_drift(s, d):
+    """Changed buckets and the ids behind them, found from the roots of two trees down."""
+    return merkle.located_drift(V.deals(s, d), V.deals_now(s, d), GUARD, depth=3)
+
+
 @query
 def a1_fingerprint_by_owner(s, d):
     return fingerprints.state_fingerprint(V.deals(s, d), "Deals", GUARD, by=["owner_id"])
@@ -521,6 +540,14 @@ def _event_stream(s, d):
     return V.changes_of(stream.withColumn("ts", F.col("ts").cast("timestamp")))
 
 
+@query
+def k3_large_cap(s, d):
+    """The oldest third of the feed of each module, by counted ranges of time."""
+    feed = changes.read_changes(V.changes(s, d))
+    found, truncated = changes.cap_per_module(feed, max(feed.count() // 6, 1000))
+    return found.select("module", "change_ref").join(truncated, "module")
+
+
 @query
 def x1_stream_changes(s, d):
     """The scan as a stream run to its end; a change is delivered once, equal unreadable ones each."""
