@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from changeguard.errors import SetTooLarge
 from changeguard.functions.scalars import as_column, days_ago, today
 from changeguard.operators.ranking import top_per_group
 from changeguard.operators.selection import rows_between
+from changeguard.session import written
 
 # Default columns per module when a caller names none.
 DEFAULT_FIELDS = {
@@ -193,38 +196,65 @@ def order_changes(df: DataFrame, at: str = "modified_at") -> DataFrame:
 
 # --- users ------------------------------------------------------------------
 
-def _grams(text: Column, size: int) -> Column:
-    spots = F.sequence(F.lit(1), F.length(text) - size + 1)
-    return F.when(F.length(text) >= size,
-                  F.array_distinct(F.transform(spots, lambda i: F.substring(text, i, F.lit(size)))))
-
-
-def resolve_user(users: DataFrame, requests: DataFrame) -> DataFrame:
+# Requests that one automaton holds; more are looked up in further passes over the users.
+NEEDLE_BYTES = 4 << 20
+
+
+def _needle_hits(batches: Iterator[pa.RecordBatch], needles: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """(needle, n, least): how many of the partition's (user_id, text) hold each needle, and the least id of them."""
+    automaton = ahocorasick.Automaton()
+    for i, needle in enumerate(needles):
+        automaton.add_word(needle, i)
+    automaton.make_automaton()
+    n, least = [0] * len(needles), [None] * len(needles)
+    for batch in batches:
+        for user, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for i in {i for _, i in automaton.iter(text)}:
+                n[i] += 1
+                if user is not None and (least[i] is None or user < least[i]):
+                    least[i] = user
+    hit = [i for i, count in enumerate(n) if count]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([needles[i] for i in hit], pa.string()), pa.array([n[i] for i in hit], pa.int64()),
+         pa.array([least[i] for i in hit], pa.string())], names=["needle", "n", "least"])
+
+
+def substring_hits(haystack: DataFrame, needles: DataFrame, block_bytes: int = NEEDLE_BYTES) -> DataFrame:
+    """(needle, n_matches, only): for each needle, the rows of ``haystack`` (user_id, text) that hold it.
+
+    A block of needles is one automaton, which finds all of them in a text at
+    once.  Tasks add up their hits, so rows of the haystack are not shuffled,
+    also not for a needle that all of them hold.
+    """
+    wanted = needles.select("needle").where(F.col("needle") != "").distinct()
+    total = wanted.agg(F.coalesce(F.sum(F.octet_length("needle") + 16), F.lit(0))).head()[0]
+    blocks, found = max(1, -(-total // block_bytes)), None
+    for k in range(blocks):
+        part = [r.needle for r in wanted.where(F.pmod(F.xxhash64("needle"), F.lit(blocks)) == k).collect()]
+        if not part:
+            continue
+        hits = haystack.select("user_id", "text").mapInArrow(
+            lambda batches, part=part: _needle_hits(batches, part), "needle string, n long, least string")
+        hits = hits if blocks == 1 else written(hits, "needle_hits")
+        found = hits if found is None else found.unionByName(hits)
+    if found is None:
+        return wanted.select("needle", F.lit(0).cast("long").alias("n_matches"), F.lit(None).cast("string").alias("only"))
+    return found.groupBy("needle").agg(F.sum("n").alias("n_matches"), F.min("least").alias("only"))
+
+
+def resolve_user(users: DataFrame, requests: DataFrame, block_bytes: int = NEEDLE_BYTES) -> DataFrame:
     """Each ``who`` to one user: exact id first, else the only case-insensitive
     substring match of e-mail and name.  ``user_id`` is null unless unique.
 
-    Substring matching is an equi-join on the request's rarest n-gram followed
-    by the exact test, so no request meets every user.
+    Users are read once for a block of requests, whatever their substrings are.
     """
     asked = requests.select(F.trim("who").alias("who")).distinct()
     exact = asked.join(users.select(F.col("id").alias("who")).distinct(), "who", "left_semi")
     rest = (asked.join(exact, "who", "left_anti").where(F.col("who") != "")
             .withColumn("needle", F.lower("who")))
     text = F.lower(F.concat_ws(" ", F.coalesce("email", F.lit("")), F.coalesce("full_name", F.lit(""))))
-    haystack = users.select(F.col("id").alias("user_id"), text.alias("text"))
-    grams = haystack.select("user_id", "text", F.explode(
-        F.concat(*[F.coalesce(_grams(F.col("text"), n), F.array().cast("array<string>")) for n in (1, 2, 3)])
-    ).alias("gram"))
-    spread = grams.groupBy("gram").agg(F.count("*").alias("n"))
-    size = F.least(F.length("needle"), F.lit(3))
-    spots = F.sequence(F.lit(1), F.length("needle") - size + 1)
-    rarest = (rest.select("who", "needle", F.explode(F.array_distinct(F.transform(
-                  spots, lambda i: F.substring(F.col("needle"), i, size)))).alias("gram"))
-              .join(spread, "gram").groupBy("who", "needle")
-              .agg(F.min_by("gram", F.struct("n", "gram")).alias("gram")))
-    hits = (rarest.join(grams, "gram").where(F.contains("text", "needle"))
-            .groupBy("who").agg(F.count("*").alias("n_matches"), F.min("user_id").alias("only")))
-    found = hits.select("who", F.when(F.col("n_matches") == 1, F.col("only")).alias("user_id"), "n_matches")
+    hits = substring_hits(users.select(F.col("id").cast("string").alias("user_id"), text.alias("text")), rest, block_bytes)
+    found = rest.join(hits, "needle").select("who", F.when(F.col("n_matches") == 1, F.col("only")).alias("user_id"), "n_matches")
     by_id = exact.select("who", F.col("who").alias("user_id"), F.lit(1).cast("bigint").alias("n_matches"))
     return (asked.join(by_id.unionByName(found), "who", "left")
             .select("who", "user_id", F.coalesce("n_matches", F.lit(0)).cast("bigint").alias("n_matches")))

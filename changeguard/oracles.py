@@ -260,6 +260,10 @@ ORACLES = {
           count(*) over () as total from deals)
         select id, stage, priority, total > skip + 50 as more_records from r, p where place >= skip and place < skip + 50""",
     "s9_default_projection": "select id, owner_id, name, segment, balance::varchar balance from accounts",
+    "s10_envelopes": f"""select id, stage, amount::varchar amount, {iso('modified_time')} modified_time, closing_date::varchar closing_date
+        from deals""",
+    "s14_write_report": """select outcome, count(*) as "rows", sum(seq)::bigint as seqs, (select count(*) from ledger) as entries
+        from ledger group by outcome""",
     "s12_append_ledger": """with sizes as (select count(*) n from ledger)
         select s::bigint as segment, true as ok, least(5000, n - s * 5000)::bigint as entries
         from sizes, range(1000000) t(s) where s * 5000 < n""",

@@ -14,6 +14,7 @@ from changeguard.operators import (chains, changes, custody, fingerprints, ledge
                                    reconcile, scans)
 from changeguard.plans import audit, delete, handover, merge, rollback, update, upsert
 from changeguard.session import configure, shared_folder
+from changeguard.sources import envelopes, files
 from changeguard.sources import scrub as scrubbing
 from changeguard.sources.ledger_store import LedgerStore
 from changeguard.sources.plan_store import live_plans
@@ -513,6 +514,28 @@ def u5_minus(s, d):
     return scans.minus(V.deals(s, d), V.deals_now(s, d), ["id", "stage"]).select("id", "stage")
 
 
+# --- files ------------------------------------------------------------------
+
+@query
+def s10_envelopes(s, d):
+    """All deals written as pages of responses, and read back."""
+    deals, folder = V.deals(s, d).select("id", "stage", "amount", "modified_time", "closing_date"), shared_folder(s, "envelopes")
+    envelopes.write_envelopes(deals, folder, page_rows=2000)
+    return envelopes.load_envelopes(s, folder, deals.schema).withColumn("modified_time", iso("modified_time")).withColumn(
+        "closing_date", F.col("closing_date").cast("string")).withColumn("amount", F.col("amount").cast("string"))
+
+
+@query
+def s14_write_report(s, d):
+    """A report of the whole ledger, counts beside their rows."""
+    book, folder = V.ledger(s, d), shared_folder(s, "reports")
+    rows = book.select("segment", "seq", "outcome")
+    found = files.write_report("ledger", ledgers.outcome_counts(book), rows, folder, "2024-01-31")
+    summary, detail = files.read_report(s, found)
+    return detail.groupBy("outcome").agg(F.count("*").alias("rows"), F.sum("seq").alias("seqs")).crossJoin(
+        summary.select("entries"))
+
+
 # --- change scan ------------------------------------------------------------
 
 @query

@@ -92,6 +92,20 @@ def test_resolve_user(rows):
                    "x bob": ("200", 1), "Bobby": ("300", 1)}
 
 
+def test_substrings_of_many_requests(rows):
+    names = [f"{a}{b}{c}" for a in "abÉ" for b in "abc" for c in "ab"] + ["", None]
+    users = rows([(str(i), n, f"{n}@X" if i % 2 else None) for i, n in enumerate(names)], "id string, full_name string, email string")
+    asked = sorted({n[i:j] for n in names[:-2] for i in range(3) for j in range(i + 1, 4)} | {"@x", "zz", "3", " aa"})
+    texts = [(str(i), f"{f'{n}@X' if i % 2 else ''} {n or ''}".lower()) for i, n in enumerate(names)]
+    want = {}
+    for who in asked:
+        held = [i for i, t in texts if who.strip().lower() in t]
+        want[who.strip()] = ("3", 1) if who == "3" else (held[0] if len(held) == 1 else None, len(held))
+    for block_bytes in (1 << 20, 100):
+        found = scans.resolve_user(users, rows([(w,) for w in asked], "who string"), block_bytes).collect()
+        assert {r.who: (r.user_id, r.n_matches) for r in found} == want
+
+
 def test_a_scan_that_ends_on_the_cap_is_complete(rows):
     df = rows([(i % 2, i) for i in range(10)], "g int, v int")
     for cap, more in ((10, False), (9, True), (11, False)):
