@@ -7,6 +7,8 @@ between them, as both walk the same leftmost matches.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,24 +28,55 @@ MAX_OWNERS = 2
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once; inside a lambda an expression is computed for each element."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _sum(numbers: Column, start: Column, count: Column) -> Column:
+    return F.aggregate(F.slice(numbers, start, count), F.lit(0), lambda a, x: a + x)
+
+
+def _sums_before(numbers: Column, use: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """``use`` of a function that gives the sum of the first i numbers.
+
+    Sums of blocks of about the square root of all are added up first, so the
+    places of n matches take n times its root, not n times n.
+    """
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(numbers))).cast("int"))
+
+    def blocked(b: Column) -> Column:
+        whole = lambda k: _sum(b["numbers"], k * b["size"] + 1, b["size"])
+        block = lambda i: F.floor(i / b["size"]).cast("int")
+        sums = F.transform(F.sequence(F.lit(0), block(F.size(b["numbers"]))), whole)
+        before = lambda sums: F.transform(sums, lambda _, k: _sum(sums, F.lit(1), k))
+        at = lambda before: lambda i: before[block(i)] + _sum(b["numbers"], block(i) * b["size"] + 1, i % b["size"])
+        return _let(_let(sums, before), lambda before: use(at(before)))
+
+    return _let(F.struct(numbers.alias("numbers"), size.alias("size")), blocked)
+
+
 def _spans(text: Column, pattern: str, kind: str, least: int, group: int = 0) -> Column:
     """The matches of ``pattern`` whose ``group`` has ``least`` characters, with code point offsets."""
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = found if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    lengths = F.transform(found, F.length)
-    both = F.zip_with(gaps, lengths, lambda gap, length: gap + F.coalesce(length, F.lit(0)))
-    places = F.transform(
-        found,
-        lambda whole, i: F.struct(
-            (F.aggregate(F.slice(both, F.lit(1), i), F.lit(0), lambda a, x: a + x) + gaps[i]).alias("start"),
+    parts = F.struct(
+        F.transform(F.split(text, pattern, -1), F.length).alias("gaps"),
+        F.transform(found, F.length).alias("lengths"),
+        (found if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))).alias("values"),
+    )
+
+    def placed(m: Column) -> Column:
+        both = F.zip_with(m["gaps"], m["lengths"], lambda gap, length: gap + F.coalesce(length, F.lit(0)))
+        span = lambda before: lambda value, i: F.struct(
+            (before(i) + m["gaps"][i]).alias("start"),
             F.lit(KINDS.index(kind)).alias("rank"),
             F.lit(kind).alias("kind"),
-            (F.aggregate(F.slice(both, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x)).alias("end"),
-            values[i].alias("value"),
-        ),
-    )
-    return F.filter(places, lambda s: F.length(s["value"]) >= least)
+            (before(i) + m["gaps"][i] + m["lengths"][i]).alias("end"),
+            value.alias("value"),
+        )
+        return _sums_before(both, lambda before: F.transform(m["values"], span(before)))
+
+    return F.filter(_let(parts, placed), lambda s: F.length(s["value"]) >= least)
 
 
 def _none() -> Column:

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -64,3 +66,14 @@ def test_owners_separate_examples_from_live_values(rows):
 def test_repeated_rows_and_null_owner(rows):
     out = secret_scan.find_secrets(rows([(1, "token=abcdef", None, None)] * 2 + [(None, "x", None, None)], SCHEMA))
     assert sorted(len(r.base) for r in out.collect()) == [0, 1, 1]
+
+
+def test_fifty_thousand_matches_in_one_text(rows):
+    rng = random.Random(12)
+    parts = [(rng.choice(["é ", "x=", "\n"]), "".join(rng.choice("0123456789abcdef") for _ in range(rng.randint(20, 40)))) for _ in range(50_000)]
+    text = "".join(gap + word for gap, word in parts)
+    began = time.monotonic()
+    (row,) = rows([(text,)], "text string").select(secret_scan.base_spans(F.col("text")).alias("spans")).collect()
+    assert time.monotonic() - began < 60
+    want = [(m.start(), m.end()) for m in re.finditer("[0-9a-f]{24,}", text)]
+    assert [(s.start, s.end) for s in row.spans if s.kind == "hex"] == want and len(want) > 35_000
