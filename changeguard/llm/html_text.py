@@ -9,11 +9,13 @@ best container where that path is not on the page.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +40,11 @@ NO_NAMES = frozenset(
     " disqus respond replies reply login search pagination pager toolbar skip hidden".split()
 )
 NO_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog".split())
+# An article may be about sharing or have a header style; these names say that it is none.
+NO_ARTICLES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion related recommended recommendations"
+    " comment comments disqus respond replies reply".split()
+)
 CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 
 TOKEN = re.compile(
@@ -48,6 +55,8 @@ TOKEN = re.compile(
     r"|<[!?][^>]*>",
     re.I | re.S,
 )
+RAW_END = re.compile(r"</(?:script|style)\s*>\Z", re.I)
+DEEP = 60  # containers inside each other
 ATTR = re.compile(r"""([a-z][\w:-]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 NAME = re.compile(r"[a-z]+", re.I)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -101,7 +110,8 @@ def _unwanted(tag: str, attrs: dict[str, str]) -> bool:
     if "display:none" in attrs.get("style", "").replace(" ", ""):
         return True
     named = CAMEL.sub(" ", f"{attrs.get('class', '')} {attrs.get('id', '')}")
-    return not NO_NAMES.isdisjoint(x.lower() for x in NAME.findall(named))
+    names = NO_ARTICLES if tag == "article" else NO_NAMES
+    return not names.isdisjoint(x.lower() for x in NAME.findall(named))
 
 
 def _step(tag: str, attrs: dict[str, str]) -> str:
@@ -110,10 +120,17 @@ def _step(tag: str, attrs: dict[str, str]) -> str:
     return ".".join([tag, *sorted("*" if len(c) > 24 else c for c in classes)])
 
 
+def _path(above: Container, step: str) -> str:
+    """The path of a container inside ``above``; very deep ones begin with a digest, so that they stay short."""
+    start = above.path if above.depth < DEEP else "#" + xxhash.xxh3_64_hexdigest(above.path.encode())
+    return f"{start}/{step}"
+
+
 def parse(html: str) -> Page:
     """Containers and text blocks of a page, outside of what is no article; any text can be read."""
     page = Page()
     stack: list[tuple[str, int, bool]] = []  # tag, container, unwanted
+    opened: Counter = Counter()  # tags on the stack
     current, hidden, links = 0, 0, 0
     parts: list[str] = []
     linked: list[str] = []
@@ -123,17 +140,15 @@ def parse(html: str) -> Page:
         if text:
             in_links = min(len(text), len(" ".join("".join(linked).split())))
             page.blocks.append((current, text, in_links))
-            at = current
-            while at >= 0:
-                page.containers[at].text += len(text)
-                page.containers[at].linked += in_links
-                at = page.containers[at].parent
+            page.containers[current].text += len(text)
+            page.containers[current].linked += in_links
         parts.clear()
         linked.clear()
 
     def pop():
         nonlocal current, hidden, links
         tag, container, unwanted = stack.pop()
+        opened[tag] -= 1
         if tag in BLOCKS:
             close_block()
         current = container
@@ -147,16 +162,20 @@ def parse(html: str) -> Page:
             if links:
                 linked.append(text)
 
-    end_of_last = 0
-    for m in TOKEN.finditer(html):
+    # Nothing behind the last ">" is a tag, so unclosed ones are looked at once, as text.
+    end_of_last, tags_end = 0, html.rfind(">") + 1
+    tail = html[tags_end:].partition("<!--")[0]
+    for m in TOKEN.finditer(html, 0, tags_end):
         add(html[end_of_last : m.start()])
         end_of_last = m.end()
+        if end_of_last == tags_end and (m["raw"] and not RAW_END.search(m[0]) or m[0].startswith("<!--") and not m[0].endswith("-->")):
+            tail = ""  # it is inside a comment or script that never ends
         tag = m["tag"] or m["tag2"]
         if not tag:
             continue
         tag = tag.lower()
         if m["end"] or m["end2"]:
-            if any(t == tag for t, _, _ in stack):
+            if opened[tag]:
                 while stack[-1][0] != tag:
                     pop()
                 pop()
@@ -188,16 +207,20 @@ def parse(html: str) -> Page:
         attrs = _attributes(text_of)
         unwanted = _unwanted(tag, attrs)
         stack.append((tag, current, unwanted))
+        opened[tag] += 1
         hidden += unwanted
         links += tag == "a"
         if tag in CONTAINERS and not hidden and not (tag == "body" and current == 0 and len(page.containers) == 1):
             here = page.containers[current]
-            page.containers.append(Container(current, f"{here.path}/{_step(tag, attrs)}", tag, here.depth + 1))
+            page.containers.append(Container(current, _path(here, _step(tag, attrs)), tag, here.depth + 1))
             current = len(page.containers) - 1
-    add(html[end_of_last:])
+    add(html[end_of_last:tags_end] + tail)
     while stack:
         pop()
     close_block()
+    for c in reversed(page.containers[1:]):  # parents stand before their children
+        page.containers[c.parent].text += c.text
+        page.containers[c.parent].linked += c.linked
     return page
 
 

@@ -1,3 +1,5 @@
+import time
+
 from changeguard.llm import html_text as H
 
 SCHEMA = "page_id long, url string, html string, text string"
@@ -50,3 +52,30 @@ def test_hosts_are_read_alike_in_both_places(spark, rows):
 def test_numbers_in_classes_are_general():
     a, b = (H.parse(f"<body><div class='post-{n} wide'><p>x") for n in (1, 22))
     assert a.containers[1].path == b.containers[1].path == "body/div.post-#.wide"
+
+
+def test_hostile_pages_end():
+    """Unclosed tags and quotes, deep nesting and endless comments of a megabyte take seconds."""
+    began = time.monotonic()
+    for html in ("<b " * 350_000, "<b \"" * 250_000, "<b '" * 250_000 + ">", "<!" * 500_000, "<!--" * 250_000, "</b>" * 250_000):
+        H.page_text(html, None)
+    deep = H.parse("<div>" * 100_000 + "in the middle" + "</div>" * 50_000 + "<p>after</b>")
+    assert deep.inside({0}) == "in the middle\nafter" and len(deep.containers) == 100_001
+    assert max(len(c.path) for c in deep.containers) < 400
+    each = H.parse("<div>some words" * 20_000)
+    assert each.containers[0].text == 20_000 * len("some words") and each.containers[1].text == each.containers[0].text
+    assert time.monotonic() - began < 30
+
+
+def test_what_never_ends_hides_the_rest():
+    assert H.page_text("<p>one</p><!-- two <p>three</p> four", None) == "one"
+    assert H.page_text("<p>one</p><script>two</p> three", None) == "one"
+    assert H.page_text("<p>one</p> two <!-- three", None) == "one\ntwo"
+    assert H.page_text("<p>one <b two", None) == "one <b two"
+    assert H.page_text("<p>one</p><!-- x -->two", None) == "one\ntwo"
+
+
+def test_an_article_may_be_named_as_it_likes():
+    assert H.page_text('<body><article class="social-science widget"><p>Long text here.</p></article></body>', None) == "Long text here."
+    page = '<body><article><p>Long text here.</p></article><article class="comment"><p>Nice!</p></article><div class="share">x</div></body>'
+    assert H.page_text(page, None) == "Long text here."
