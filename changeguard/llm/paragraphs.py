@@ -66,11 +66,15 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, wants: list of first, last) to one row per want with the shingles around it."""
+    """(text, wants: list of first, last) to one row per want with the shingles around it.
+
+    32 bits of a shingle travel: enough to tell places apart that stand beside
+    each other, which is all that cut-outs are compared on.
+    """
     for batch in batches:
         rows, firsts, lasts, starts, around = [], [], [], [], []
         for row, text, wants in zip(batch.column("row").to_pylist(), byte_texts(batch.column("text")), batch.column("wants").to_pylist()):
-            found = shingles(word_hashes(text), SHINGLE)
+            found = (shingles(word_hashes(text), SHINGLE) >> np.uint64(32)).astype(np.uint32)
             for want in wants:
                 start = max(0, want["first"] - WIDTH)
                 rows.append(row)
@@ -150,7 +154,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         cols = {n: batch.column(n).to_pylist() for n in batch.schema.names}
         for i in range(batch.num_rows):
-            one, two = (np.frombuffer(cols[f"around_{x}"][i], np.uint64) for x in "ab")
+            one, two = (np.frombuffer(cols[f"around_{x}"][i], np.uint32) for x in "ab")
             start_a, start_b = cols["start_a"][i], cols["start_b"][i]
             # the texts differ by first_b - first_a; the cut-outs begin elsewhere
             shift = (cols["first_b"][i] - start_b) - (cols["first_a"][i] - start_a)
@@ -197,10 +201,14 @@ def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
 
 
 def _texts(rows: DataFrame, anchors: DataFrame, asked: DataFrame) -> DataFrame:
-    """``asked``, one line per row number, with the text of the row."""
-    # Rows of one key and text are alike, so one of them answers for all.
-    ident = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "digest").alias("ident")
-    return rows.select(ident, "text").dropDuplicates(["ident"]).join(asked.join(anchors.select("row", ident), "row"), "ident")
+    """``asked``, one line per row number, with the text of the row.
+
+    Rows of one digest have one text, so one of them answers for all; texts
+    that nothing is asked of stay where they are.
+    """
+    wanted = written(asked.join(anchors.select("row", "digest"), "row"), "wanted")
+    texts = rows.select("digest", "text").join(wanted.select("digest").distinct(), "digest", "left_semi")
+    return texts.dropDuplicates(["digest"]).join(wanted, "digest")
 
 
 def _found(pairs: DataFrame, rows: DataFrame, anchors: DataFrame) -> DataFrame:
