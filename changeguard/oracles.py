@@ -269,6 +269,7 @@ ORACLES = {
         from sizes, range(1000000) t(s) where s * 5000 < n""",
     "s13_plan_store": """select 'k' || user_id as key, arg_max(event_id, ts) event_id from events
         where ts > timestamp '2024-01-15 12:00:00' - interval 14 day group by 1""",
+    "s13_saved_plan": "select id, stage, owner_id from deals where stage <> 'Qualification'",
     "s15_scrub": """with ids as (select id, 'id_' || row_number() over (order by id) place from
           (select c_custkey::varchar id from customer union select n_nationkey::varchar from nation
            where n_nationkey in (select c_nationkey from customer)))

@@ -14,7 +14,7 @@ from changeguard.operators import (chains, changes, custody, fingerprints, ledge
                                    reconcile, scans)
 from changeguard.plans import audit, delete, handover, merge, rollback, update, upsert
 from changeguard.session import configure, shared_folder
-from changeguard.sources import envelopes, files
+from changeguard.sources import envelopes, files, plan_store
 from changeguard.sources import scrub as scrubbing
 from changeguard.sources.ledger_store import LedgerStore
 from changeguard.sources.plan_store import live_plans
@@ -141,6 +141,19 @@ def s13_plan_store(s, d):
         "key", "event_id")
 
 
+@query
+def s13_saved_plan(s, d):
+    """A plan's rows, saved twice beside an expired plan of the same key, and loaded by the key."""
+    folder, deals = shared_folder(s, "plans"), V.deals(s, d).select("id", "stage", "owner_id")
+    key = plan_store.plan_key("update", "Deals", "stage <> 'Qualification'", {"owner_id": "7"})
+    for now, rows in (("2024-01-10 08:00:00", deals), ("2024-01-15 11:10:00", deals.limit(0)),
+                      ("2024-01-15 11:40:00", deals.where("stage <> 'Qualification'"))):
+        plan_store.save_plan(plan_store.Plan("update", "Deals", key, "", 0, {}, rows, {"owners": deals.select("owner_id").distinct()}),
+                             folder, now)
+    plan = plan_store.load_plan(s, folder, key, "2024-01-15 12:00:00")
+    return plan.rows.join(plan.extra["owners"], "owner_id")
+
+
 @query
 def s15_scrub(s, d):
     c, n = V.table(s, d, "customer"), V.table(s, d, "nation")

@@ -39,6 +39,17 @@ def write_once(spark: SparkSession, path: str, content: dict) -> bool:
     return True
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    target, fs = _path(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target, fs = _path(spark, path)
+    fs.delete(target, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target, fs = _path(spark, path)
     return fs.exists(target)

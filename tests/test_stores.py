@@ -133,6 +133,21 @@ def test_plans_expire(spark, tmp_path):
     assert plan_store.load_plan(spark, path, "other", NOW) is None
 
 
+def test_expired_days_go_and_extra_tables_stay(spark, tmp_path):
+    path, rows = str(tmp_path / "plans"), spark.range(3)
+    plan = lambda key, **extra: plan_store.Plan("update", "Leads", key, "f", 3, {}, rows, extra)
+    plan_store.save_plan(plan("old"), path, "2026-02-27 23:59:00")
+    plan_store.save_plan(plan("a", kept=spark.range(5), none=spark.range(0)), path, "2026-03-01 23:30:00")
+    assert commits.children(spark, f"{path}/headers") == ["_SUCCESS", "day=2026-03-01"]
+    plan_store.save_plan(plan("b"), path, "2026-03-02 00:10:00")
+    assert plan_store.load_plan(spark, path, "old", "2026-02-28 00:10:00") is None
+    found = plan_store.load_plan(spark, path, "a", "2026-03-02 00:20:00")
+    assert {name: t.count() for name, t in found.extra.items()} == {"kept": 5, "none": 0} and found.rows.count() == 3
+    assert plan_store.load_plan(spark, path, "a", "2026-03-02 00:31:00") is None
+    assert plan_store.expire_plans(spark, path, "2026-03-02 01:30:00") == ["2026-03-01"]
+    assert commits.children(spark, f"{path}/rows") == ["day=2026-03-02"]
+
+
 def test_plan_keys_tell_literals_apart():
     key = lambda text, **c: plan_store.plan_key("update", "Leads", text, c)
     assert key("a = 'X'", s=1) == key("  a =  'X' ", s=1)
