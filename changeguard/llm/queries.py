@@ -117,7 +117,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     score = F.col("__toxic")
     return toxicity.with_scores(docs, table(spark, folder, "labels")).select(
         "doc_id",
-        (toxicity.fold(F.col("doc_id"), 3) == 1).alias("held_out"),
+        F.coalesce(toxicity.fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),  # a null key is in no fold
         score.alias("score"),
         F.when(score >= toxicity.REJECT, 1).otherwise(0).alias("predicted"),
     )

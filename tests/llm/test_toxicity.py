@@ -3,6 +3,7 @@ import zlib
 
 import pytest
 
+from changeguard.llm import queries
 from changeguard.llm import toxicity as X
 
 SCHEMA = "doc_id long, text string, toxic string, lang string"
@@ -55,3 +56,11 @@ def test_without_labels_nothing_is_rejected(rows, corpus):
     out = X.drop_toxic(table, rows([], LABELS))
     assert out.columns == table.columns and out.count() == 5
     assert X.drop_toxic(rows([], SCHEMA), rows([(1, 1, 1)], LABELS)).count() == 0
+
+
+def test_query_tells_the_fold_of_every_row(spark, rows, tmp_path):
+    rows([(1, "some words"), (None, "no key"), (None, None), (4, "")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    out = queries.op9_toxicity(spark, str(tmp_path)).collect()
+    assert len(out) == 4 and all(isinstance(r.held_out, bool) and r.predicted in (0, 1) and 0 <= r.score <= 1 for r in out)
+    assert not any(r.held_out for r in out if r.doc_id is None)
