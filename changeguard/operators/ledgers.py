@@ -101,34 +101,52 @@ def governed_keys(ledger: DataFrame, records: DataFrame | None = None) -> DataFr
     return governed_writes(ledger, records).distinct()
 
 
-def ledger_by_record(ledger: DataFrame, records: DataFrame | None = None) -> DataFrame:
+def ledger_by_record(ledger: DataFrame, records: DataFrame | None = None, ids: DataFrame | None = None,
+                     every_write: bool = False) -> DataFrame:
     """One row per (entry, record id it names).  Reconciled entries name none.
 
     Ids inside ``detail`` are made distinct within their own row, so nothing is
-    shuffled here and no list per record is ever built.
+    shuffled here and no list per record is ever built.  With ``ids`` only rows
+    of those (module, id) are kept, before anything is grouped; of entries whose
+    rows are in ``records`` only those that have one are parsed.
+    With ``every_write`` an id that an entry has written twice has a row for
+    each time, and ``newest`` tells the one that counts as the entry's.
     """
-    named = details.parsed(ledger.where(F.col("outcome") != "reconciled"))
+    others_than_verdicts = ledger.where(F.col("outcome") != "reconciled")
+    named = details.parsed(others_than_verdicts)
     d = F.col("d")
     header = ["segment", "seq", "entry_id", "outcome", "command", "module", "plan_key", "at"]
+    told = [details.names_at(d, "fields").alias("fields"), details.text_at(d, "$.reason").alias("reason")]
     others = F.concat(*[details.ids_from(d, source) for source in details.ID_SOURCES if source != "written"])
-    held = named.select(*header, details.names_at(d, "fields").alias("fields"),
-                        details.text_at(d, "$.reason").alias("reason"),
-                        details.written_rows(d).alias("_written"), others.alias("_others"))
-    ids = F.transform("_written", lambda x: x["id"])
+    held = named.select(*header, *told, details.written_rows(d).alias("_written"), others.alias("_others"))
+    written = F.transform("_written", lambda x: x["id"])
     # an id written twice in one entry keeps its latest time; the sort that
     # takes is only done for entries that have one
     ordered = F.array_sort("_written")
-    latest = F.filter(ordered, lambda x, i: F.coalesce(F.get(ordered, i + 1)["id"] != x["id"], F.lit(True)))
-    timed = F.when(F.size(F.array_distinct(ids)) == F.size("_written"), F.col("_written")).otherwise(latest)
-    rest = F.transform(F.array_except("_others", ids), lambda x: F.struct(
-        x.alias("id"), F.lit(None).cast("timestamp").alias("modified_time")))
+    marked = F.transform(ordered, lambda x, i: F.struct(
+        x["id"].alias("id"), x["modified_time"].alias("modified_time"),
+        F.coalesce(F.get(ordered, i + 1)["id"] != x["id"], F.lit(True)).alias("newest")))
+    one = F.transform("_written", lambda x: F.struct(
+        x["id"].alias("id"), x["modified_time"].alias("modified_time"), F.lit(True).alias("newest")))
+    again = marked if every_write else F.filter(marked, lambda x: x["newest"])
+    timed = F.when(F.size(F.array_distinct(written)) == F.size("_written"), one).otherwise(again)
+    rest = F.transform(F.array_except("_others", written), lambda x: F.struct(
+        x.alias("id"), F.lit(None).cast("timestamp").alias("modified_time"), F.lit(True).alias("newest")))
     rows = held.select(*header, "fields", "reason", F.inline(F.concat(timed, rest))).withColumnRenamed(
         "modified_time", "written_time")
+    if ids is not None:
+        rows = rows.join(ids.select("module", "id").distinct(), ["module", "id"], "left_semi")
     if records is not None:
-        stored = records.select("entry_id", "id", "written_time").join(
-            held.drop("_written", "_others"), "entry_id")
-        rows = rows.unionByName(stored)
-    return rows
+        stored = records.select("entry_id", "id", "written_time")
+        if ids is None:
+            stored = stored.join(held.drop("_written", "_others"), "entry_id")
+        else:
+            stored = stored.join(ids.select("id").distinct(), "id", "left_semi")
+            stored = stored.join(others_than_verdicts.select(*header, "detail"), "entry_id").join(
+                ids.select("module", "id").distinct(), ["module", "id"], "left_semi")
+            stored = details.parsed(stored).select(*header, *told, "id", "written_time")
+        rows = rows.unionByName(stored.withColumn("newest", F.lit(True)))
+    return rows if every_write else rows.drop("newest")
 
 
 def last_written(ledger_long: DataFrame) -> DataFrame:

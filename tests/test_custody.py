@@ -77,6 +77,34 @@ def test_unread_state_is_unchecked_and_history_still_counts(spark):
     assert [e.kind for e in events.collect()] == ["governed_change", "refusal"]
 
 
+def test_a_record_written_twice_in_one_entry(spark):
+    """Both times are governed states; the entry counts once, in the totals and in the timeline."""
+    twice = ("applied", {"written": [{"id": "1", "modified_time": EARLY}, {"id": "1", "modified_time": WRITE},
+                                     {"id": "2", "modified_time": WRITE}]})
+    for now, verdict in ((EARLY, "governed"), (WRITE, "governed"), (LATER, "diverged")):
+        _, verdicts, events = custody.custody_report(ids(spark, "1"), book(spark, twice), current(spark, {"1": now}))
+        row = verdicts.head()
+        assert (row.custody, row.governed_changes) == (verdict, 1)
+        assert [(e.id, e.kind) for e in events.collect()] == [("1", "governed_change")]
+
+
+def test_records_beside_the_ledger_count_like_inline_ones(spark):
+    ledger = book(spark, ("applied", {"fields": ["stage"]}), ("refused", {"reason": "drift"}), written("2", WRITE))
+    records = spark.createDataFrame([("e1", "1", WRITE), ("e1", "3", WRITE), ("e2", "1", None)], "entry_id string, id string, t string")
+    records = records.select("entry_id", "id", F.to_timestamp("t").alias("written_time"), F.lit(None).cast("string").alias("verdict"))
+    _, verdicts, events = custody.custody_report(ids(spark, "1", "2"), ledger, current(spark, {"1": WRITE, "2": LATER}), records)
+    assert {(r.id, r.custody, r.governed_changes, r.refusals) for r in verdicts.collect()} == {
+        ("1", "governed", 1, 1), ("2", "diverged", 1, 0)}
+    assert [(e.id, e.kind, e.reason) for e in events.collect()] == [
+        ("1", "governed_change", None), ("1", "refusal", "drift"), ("2", "governed_change", None)]
+
+
+def test_custody_parses_details_once(spark):
+    ledger = book(spark, written("1", WRITE))
+    plan = custody.custody_report(ids(spark, "1"), ledger, current(spark, {"1": WRITE}))[1]._jdf.queryExecution().analyzed().toString()
+    assert plan.count("try_parse_json") == 1
+
+
 def test_ids_are_checked(spark):
     good, bad = custody.check_ids(ids(spark, "1", "x"))
     assert ([r.id for r in good.collect()], [r.id for r in bad.collect()]) == (["1"], ["x"])
