@@ -4,11 +4,14 @@ Both models back off to the same continuation counts, pooled over the classes,
 so that an expression that is rare in both says little.  A text is judged by
 its length-normalised log-likelihood ratio, over all of it and over its most
 toxic window, calibrated on labelled rows that the models have not seen.
+
+Words are 64-bit hashes, and a pair of words is one of both.  Every word and
+pair of the labelled rows has its ratio, so what is shipped to the tasks is
+three sorted arrays as long as the vocabulary of those rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -18,17 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeguard.llm.text import byte_texts, most_frequent, words
+from changeguard.llm.text import byte_texts, mixed, word_hashes
 from changeguard.session import written
 
 MAX_ROWS = 10_000  # labelled rows of each class that the classifier is fitted on, drawn by hash
-MAX_WORDS = 60_000  # words that the models know by themselves; others share one entry
-MAX_BIGRAMS = 100_000  # seen twice or more
 DISCOUNT = 0.75
 EVIDENCE = 5.0  # pooled counts at which half of a ratio is believed
 WINDOW = 6  # words
 REJECT = 0.7
-START = b""
+START = 0  # in place of the word before the first
 
 
 def fold(key: Column, parts: int) -> Column:
@@ -53,68 +54,76 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str, key: str) -> Da
     return rows.join(drawn, "doc_id")
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, text) to (before, word, n_toxic, n_ordinary), added up as far as memory allows."""
-    counts: Counter = Counter()
+def calibrating(key: str) -> Column:
+    """The fifth of the labelled rows whose words are not counted."""
+    return F.pmod(F.xxhash64(key, F.lit(11)), F.lit(5)) == 0
 
-    def emit():
-        keys = list(counts)
-        n = np.fromiter(counts.values(), np.int64, len(keys))
-        toxic = np.fromiter((k[0] for k in keys), np.int64, len(keys))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[1] for k in keys], pa.binary()),
-                pa.array([k[2] for k in keys], pa.binary()),
-                pa.array(n * toxic),
-                pa.array(n * (1 - toxic)),
-            ],
-            names=["before", "word", "n_toxic", "n_ordinary"],
-        )
 
+def _before(found: np.ndarray) -> np.ndarray:
+    return np.concatenate((np.array([START], np.uint64), found[:-1]))
+
+
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(before * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(toxic, text) to (before, word, n_toxic, n_ordinary), added up in each text."""
     for batch in batches:
         for toxic, text in zip(batch.column("toxic").to_pylist(), byte_texts(batch.column("text"))):
-            found = words(text)
-            counts.update(zip([toxic] * len(found), [START, *found], found))
-            if len(counts) > 300_000:
-                yield from emit()
-                counts.clear()
-    if counts:
-        yield from emit()
+            word = word_hashes(text)
+            if not len(word):
+                continue
+            before = _before(word)
+            _, first, n = np.unique(pair_keys(before, word), return_index=True, return_counts=True)
+            n = n.astype(np.int64)
+            columns = [before[first].view(np.int64), word[first].view(np.int64), n * toxic, n * (1 - toxic)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["before", "word", "n_toxic", "n_ordinary"])
 
 
 @dataclass
 class Ratio:
     """Log-likelihood ratios (toxic to ordinary) of words after words, and how to turn them into a score."""
 
-    place: dict[bytes, int]  # of known words; 0 is any other
+    words: np.ndarray  # hashes of all known words, sorted
     single: np.ndarray  # per word, backed off
-    pairs: np.ndarray  # before * len(single) + word, sorted
+    pairs: np.ndarray  # keys of all known pairs, sorted
     values: np.ndarray  # per pair
     centre: np.ndarray = field(default_factory=lambda: np.zeros(3))
     scale: np.ndarray = field(default_factory=lambda: np.ones(3))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
     share: float = 0.0  # of toxic texts, the score of a text without words
 
+    def ratios(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per word of a text: the ratio after the word before, and backed off.  A word nobody knows is no sign."""
+        alone, known = _looked_up(self.words, self.single, word)
+        paired, seen = _looked_up(self.pairs, self.values, pair_keys(_before(word), word))
+        alone = np.where(known, alone, 0.0)
+        return np.where(seen, paired, alone), alone
+
     def features(self, text: bytes) -> tuple[float, float, float]:
         """Mean ratio of the text, mean ratio of its most toxic window, highest backed-off ratio of one word."""
-        get = self.place.get
-        found = words(text)
-        at = np.fromiter((get(w, 0) for w in found), np.int64, len(found))
-        if not len(at):
+        word = word_hashes(text)
+        if not len(word):
             return np.nan, np.nan, np.nan
-        before = np.concatenate(([get(START, 0)], at[:-1]))
-        key = before * len(self.single) + at
-        slot = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        ratio = np.where(self.pairs[slot] == key, self.values[slot], self.single[at])
+        ratio, alone = self.ratios(word)
         sums = np.concatenate(([0.0], np.cumsum(ratio)))
         size = min(WINDOW, len(ratio))
-        return float(ratio.mean()), float((sums[size:] - sums[:-size]).max() / size), float(self.single[at].max())
+        return float(ratio.mean()), float((sums[size:] - sums[:-size]).max() / size), float(alone.max())
 
     def score(self, features: np.ndarray) -> np.ndarray:
         z = np.column_stack([(features - self.centre) / self.scale, np.ones(len(features))]) @ self.weights
         return np.where(np.isnan(z), self.share, 1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
+def _looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The value of each asked key, and whether there is one."""
+    if not len(keys):
+        return np.zeros(len(asked)), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return values[at], keys[at] == asked
+
+
 def _calibrated(ratio: Ratio, features: np.ndarray, toxic: np.ndarray) -> Ratio:
     """Logistic regression with a small ridge, by Newton steps."""
     good = ~np.isnan(features[:, 0])
@@ -139,16 +148,15 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     Without labels of both classes every text gets the share of toxic ones, or 0.
     """
     rows = written(training_rows(docs, labels, text, key).select("doc_id", "text", "toxic"), "labelled")
-    empty = Ratio({}, np.zeros(1), np.array([-1]), np.zeros(1))
+    empty = Ratio(np.empty(0, np.uint64), np.empty(0), np.empty(0, np.uint64), np.empty(0))
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         empty.share = 1.0 if sizes.get(1) else 0.0
         empty.weights[3] = 50.0 if sizes.get(1) else -50.0
         return empty
-    last = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5)) == 0
     pairs = written(
-        rows.filter(~last)
-        .mapInArrow(_pairs, "before binary, word binary, n_toxic long, n_ordinary long")
+        rows.filter(~calibrating("doc_id"))
+        .mapInArrow(_pairs, "before long, word long, n_toxic long, n_ordinary long")
         .groupBy("before", "word")
         .agg(F.sum("n_toxic").alias("n1"), F.sum("n_ordinary").alias("n0")),
         "pairs",
@@ -163,20 +171,19 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     if not totals[5]:
         empty.weights[3] = -50.0
         return empty
-    sized = into.join(after, "w", "full").na.fill(0).withColumn("size", F.greatest(F.col("n0") + F.col("n1"), F.col("k")))
-    known = most_frequent(written(sized, "known"), "size", MAX_WORDS).toPandas()
-    often = pairs.withColumn("size", F.col("n0") + F.col("n1")).filter("size > 1")
-    many = most_frequent(often, "size", MAX_BIGRAMS).toPandas()
-    count = {c: np.concatenate(([0.0], known[c].to_numpy(float))) for c in ("n0", "n1", "t0", "t1", "k0", "k1", "k")}
+    known = into.join(after, "w", "full").na.fill(0).toArrow().to_pandas()
+    many = pairs.toArrow().to_pandas()
+    known = known.iloc[np.argsort(known["w"].to_numpy().view(np.uint64))]
+    words = known["w"].to_numpy().view(np.uint64)
+    count = {c: known[c].to_numpy(float) for c in ("n0", "n1", "t0", "t1", "k0", "k1", "k")}
     shared = (count["k"] + 1) / (totals[2] + totals[5] + 1)
     lower = {}
     for c in (0, 1):
         all_c, kinds = max(1, totals[c]), max(1, totals[3 + c])
         lower[c] = (np.maximum(count[f"k{c}"] - DISCOUNT, 0) + DISCOUNT * kinds * shared) / all_c
     leave = {c: np.where(count[f"n{c}"] > 0, DISCOUNT * count[f"t{c}"] / np.maximum(count[f"n{c}"], 1), 1.0) for c in (0, 1)}
-    place = {bytes(w): i + 1 for i, w in enumerate(known["w"])}
-    inside = [(place.get(bytes(b), 0), place.get(bytes(w), 0)) for b, w in zip(many["before"], many["word"])]
-    before, word = (np.array([x[i] for x in inside], np.int64) for i in (0, 1))
+    first, second = (many[c].to_numpy().view(np.uint64) for c in ("before", "word"))
+    before, word = np.searchsorted(words, first), np.searchsorted(words, second)
     p = {}
     for c in (0, 1):
         seen = np.maximum(many[f"n{c}"].to_numpy(float) - DISCOUNT, 0) / np.maximum(count[f"n{c}"][before], 1)
@@ -185,21 +192,14 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     # ratios, so that words which neither class knows are no sign, and neither are those
     # that one of them has met once or twice.
     unseen = np.log(max(1, totals[4]) / max(1, totals[1])) - np.log(max(1, totals[3]) / max(1, totals[0]))
-    evidence = count["k"]
-    single = (np.log(lower[1] / lower[0]) - unseen) * evidence / (evidence + EVIDENCE)
-    use = (before > 0) & (word > 0)
-    key_of = before[use] * (len(known) + 1) + word[use]
-    order = np.argsort(key_of)
-    values = np.log(p[1][use] / p[0][use]) - np.log(leave[1] / leave[0])[before[use]]
-    seen_by = (many["n0"] + many["n1"]).to_numpy(float)[use]
-    values = ((values - unseen) * seen_by / (seen_by + EVIDENCE))[order]
-    ratio = Ratio(
-        place,
-        single,
-        np.concatenate((key_of[order], [np.iinfo(np.int64).max])),
-        np.concatenate((values, [0.0])),
-    )
-    found = rows.filter(last).mapInArrow(
+    single = (np.log(lower[1] / lower[0]) - unseen) * count["k"] / (count["k"] + EVIDENCE)
+    values = np.log(p[1] / p[0]) - np.log(leave[1] / leave[0])[before]
+    seen_by = (many["n0"] + many["n1"]).to_numpy(float)
+    values = (values - unseen) * seen_by / (seen_by + EVIDENCE)
+    keys = pair_keys(first, second)
+    order = np.argsort(keys)
+    ratio = Ratio(words, single, keys[order], values[order])
+    found = rows.filter(calibrating("doc_id")).mapInArrow(
         lambda batches: _features(batches, ratio, ["toxic"]), "toxic int, f0 double, f1 double, f2 double"
     ).toPandas()
     if found["toxic"].nunique() < 2:
