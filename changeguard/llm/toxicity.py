@@ -6,8 +6,8 @@ its length-normalised log-likelihood ratio, over all of it and over its most
 toxic window, calibrated on labelled rows that the models have not seen.
 
 Words are 64-bit hashes, and a pair of words is one of both.  Every word and
-pair of the labelled rows has its ratio, so what is shipped to the tasks is
-three sorted arrays as long as the vocabulary of those rows.
+pair of the labelled rows has its ratio.  They go to the executors once, with
+eight bytes for each distinct pair of those at most 2 * ``MAX_ROWS`` rows.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,14 +82,37 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["before", "word", "n_toxic", "n_ordinary"])
 
 
+class Lookup:
+    """Values by the upper 48 bits of 64-bit hashes; an entry travels as eight bytes."""
+
+    def __init__(self, hashes: np.ndarray, values: np.ndarray):
+        order = np.argsort(hashes)
+        self.keys = hashes[order] >> np.uint64(16)
+        self.values = values[order].astype(np.float32)
+
+    def __getstate__(self):
+        sizes = np.bincount((self.keys >> np.uint64(32)).astype(np.int64), minlength=1 << 16)
+        return sizes, self.keys.astype(np.uint32), self.values
+
+    def __setstate__(self, state):
+        sizes, rest, self.values = state
+        self.keys = (np.repeat(np.arange(1 << 16, dtype=np.uint64), sizes) << np.uint64(32)) | rest
+
+    def get(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The value of each hash, 0 where there is none, and whether there is one."""
+        if not len(self.keys):
+            return np.zeros(len(hashes)), np.zeros(len(hashes), bool)
+        asked = hashes >> np.uint64(16)
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        known = self.keys[at] == asked
+        return np.where(known, self.values[at].astype(float), 0.0), known
+
+
 @dataclass
 class Ratio:
     """Log-likelihood ratios (toxic to ordinary) of words after words, and how to turn them into a score."""
 
-    words: np.ndarray  # hashes of all known words, sorted
-    single: np.ndarray  # per word, backed off
-    pairs: np.ndarray  # keys of all known pairs, sorted
-    values: np.ndarray  # per pair
+    tables: Broadcast | None = None  # ratios of words, backed off, and of pairs
     centre: np.ndarray = field(default_factory=lambda: np.zeros(3))
     scale: np.ndarray = field(default_factory=lambda: np.ones(3))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
@@ -96,9 +120,11 @@ class Ratio:
 
     def ratios(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per word of a text: the ratio after the word before, and backed off.  A word nobody knows is no sign."""
-        alone, known = _looked_up(self.words, self.single, word)
-        paired, seen = _looked_up(self.pairs, self.values, pair_keys(_before(word), word))
-        alone = np.where(known, alone, 0.0)
+        if self.tables is None:
+            return np.zeros(len(word)), np.zeros(len(word))
+        words, pairs = self.tables.value
+        alone, _ = words.get(word)
+        paired, seen = pairs.get(pair_keys(_before(word), word))
         return np.where(seen, paired, alone), alone
 
     def features(self, text: bytes) -> tuple[float, float, float]:
@@ -116,14 +142,6 @@ class Ratio:
         return np.where(np.isnan(z), self.share, 1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
-def _looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The value of each asked key, and whether there is one."""
-    if not len(keys):
-        return np.zeros(len(asked)), np.zeros(len(asked), bool)
-    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-    return values[at], keys[at] == asked
-
-
 def _calibrated(ratio: Ratio, features: np.ndarray, toxic: np.ndarray) -> Ratio:
     """Logistic regression with a small ridge, by Newton steps."""
     good = ~np.isnan(features[:, 0])
@@ -148,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     Without labels of both classes every text gets the share of toxic ones, or 0.
     """
     rows = written(training_rows(docs, labels, text, key).select("doc_id", "text", "toxic"), "labelled")
-    empty = Ratio(np.empty(0, np.uint64), np.empty(0), np.empty(0, np.uint64), np.empty(0))
+    empty = Ratio()
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         empty.share = 1.0 if sizes.get(1) else 0.0
@@ -172,7 +190,6 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         empty.weights[3] = -50.0
         return empty
     known = into.join(after, "w", "full").na.fill(0).toArrow().to_pandas()
-    many = pairs.toArrow().to_pandas()
     known = known.iloc[np.argsort(known["w"].to_numpy().view(np.uint64))]
     words = known["w"].to_numpy().view(np.uint64)
     count = {c: known[c].to_numpy(float) for c in ("n0", "n1", "t0", "t1", "k0", "k1", "k")}
@@ -182,23 +199,24 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         all_c, kinds = max(1, totals[c]), max(1, totals[3 + c])
         lower[c] = (np.maximum(count[f"k{c}"] - DISCOUNT, 0) + DISCOUNT * kinds * shared) / all_c
     leave = {c: np.where(count[f"n{c}"] > 0, DISCOUNT * count[f"t{c}"] / np.maximum(count[f"n{c}"], 1), 1.0) for c in (0, 1)}
-    first, second = (many[c].to_numpy().view(np.uint64) for c in ("before", "word"))
-    before, word = np.searchsorted(words, first), np.searchsorted(words, second)
-    p = {}
-    for c in (0, 1):
-        seen = np.maximum(many[f"n{c}"].to_numpy(float) - DISCOUNT, 0) / np.maximum(count[f"n{c}"][before], 1)
-        p[c] = seen + leave[c][before] * lower[c][word]
     # The shares left to backing off differ by class size alone; they are taken out of all
     # ratios, so that words which neither class knows are no sign, and neither are those
     # that one of them has met once or twice.
     unseen = np.log(max(1, totals[4]) / max(1, totals[1])) - np.log(max(1, totals[3]) / max(1, totals[0]))
     single = (np.log(lower[1] / lower[0]) - unseen) * count["k"] / (count["k"] + EVIDENCE)
-    values = np.log(p[1] / p[0]) - np.log(leave[1] / leave[0])[before]
-    seen_by = (many["n0"] + many["n1"]).to_numpy(float)
-    values = (values - unseen) * seen_by / (seen_by + EVIDENCE)
-    keys = pair_keys(first, second)
-    order = np.argsort(keys)
-    ratio = Ratio(words, single, keys[order], values[order])
+    hashes, values = [np.empty(0, np.uint64)], [np.empty(0, np.float32)]
+    for batch in pairs.select("before", "word", *[F.col(n).cast("int") for n in ("n0", "n1")]).toArrow().to_batches(50_000):
+        first, second, n0, n1 = (batch.column(i).to_numpy() for i in range(4))
+        first, second = first.view(np.uint64), second.view(np.uint64)
+        before, word = np.searchsorted(words, first), np.searchsorted(words, second)
+        p = {}
+        for c, n in enumerate((n0, n1)):
+            p[c] = np.maximum(n - DISCOUNT, 0) / np.maximum(count[f"n{c}"][before], 1) + leave[c][before] * lower[c][word]
+        value = np.log(p[1] / p[0]) - np.log(leave[1] / leave[0])[before]
+        hashes.append(pair_keys(first, second))
+        values.append(((value - unseen) * (n0 + n1) / (n0 + n1 + EVIDENCE)).astype(np.float32))
+    tables = Lookup(words, single), Lookup(np.concatenate(hashes), np.concatenate(values))
+    ratio = Ratio(docs.sparkSession.sparkContext.broadcast(tables))
     found = rows.filter(calibrating("doc_id")).mapInArrow(
         lambda batches: _features(batches, ratio, ["toxic"]), "toxic int, f0 double, f1 double, f2 double"
     ).toPandas()

@@ -1,4 +1,5 @@
 import math
+import pickle
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -106,13 +107,23 @@ def test_ratios_are_those_of_plain_kneser_ney(rows, corpus):
     counted = X.training_rows(table, labels, "text", "doc_id").filter(~X.calibrating("doc_id")).collect()
     single, paired = plain_kneser_ney([(r.toxic, r.text) for r in counted])
     ratio = X.fit(table, labels)
-    assert (len(ratio.words), len(ratio.pairs)) == (len(single) + 1, len(paired))  # and the start of a text
+    assert tuple(len(t.keys) for t in ratio.tables.value) == (len(single) + 1, len(paired))  # and the start of a text
     for i in range(0, 1200, 17):
         found = words(texts[i].encode())
         got, alone = ratio.ratios(word_hashes(texts[i].encode()))
-        assert alone == pytest.approx(np.array([single.get(w, 0.0) for w in found]), abs=1e-9)
+        assert alone == pytest.approx(np.array([single.get(w, 0.0) for w in found]), abs=1e-6)
         want = [paired.get(pair, single.get(pair[1], 0.0)) for pair in zip([None, *found], found)]
-        assert got == pytest.approx(np.array(want), abs=1e-9)
+        assert got == pytest.approx(np.array(want), abs=1e-6)
+
+
+def test_tables_come_back_from_their_packed_form():
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 1 << 64, 5000, np.uint64)
+    table = pickle.loads(pickle.dumps(X.Lookup(hashes, np.arange(5000))))
+    value, known = table.get(np.concatenate((hashes, rng.integers(0, 1 << 64, 5000, np.uint64))))
+    assert (value[:5000] == np.arange(5000)).all() and known[:5000].all() and not known[5000:].any()
+    empty = pickle.loads(pickle.dumps(X.Lookup(hashes[:0], np.empty(0))))
+    assert not empty.get(hashes)[1].any()
 
 
 def test_a_rare_expression_of_toxic_texts_is_a_sign(rows):
