@@ -142,6 +142,23 @@ class Ratio:
         return np.where(np.isnan(z), self.share, 1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
+def _pair_ratios(batches: Iterator[pa.RecordBatch], stats: Broadcast) -> Iterator[pa.RecordBatch]:
+    """(before, word, n1, n0) to the key of the pair and its ratio, from what the models know of each word."""
+    words, n0, n1, leave, lower, unseen = stats.value
+    for batch in batches:
+        first, second = (batch.column(c).to_numpy().view(np.uint64) for c in ("before", "word"))
+        before, word = np.searchsorted(words, first), np.searchsorted(words, second)
+        seen = {0: batch.column("n0").to_numpy().astype(float), 1: batch.column("n1").to_numpy().astype(float)}
+        p = {
+            c: np.maximum(seen[c] - DISCOUNT, 0) / np.maximum(n[before], 1) + leave[c][before] * lower[c][word]
+            for c, n in ((0, n0), (1, n1))
+        }
+        value = np.log(p[1] / p[0]) - np.log(leave[1] / leave[0])[before]
+        n = seen[0] + seen[1]
+        value = ((value - unseen) * n / (n + EVIDENCE)).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array(pair_keys(first, second).view(np.int64)), pa.array(value)], names=["pair", "value"])
+
+
 def _calibrated(ratio: Ratio, features: np.ndarray, toxic: np.ndarray) -> Ratio:
     """Logistic regression with a small ridge, by Newton steps."""
     good = ~np.isnan(features[:, 0])
@@ -204,19 +221,14 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     # that one of them has met once or twice.
     unseen = np.log(max(1, totals[4]) / max(1, totals[1])) - np.log(max(1, totals[3]) / max(1, totals[0]))
     single = (np.log(lower[1] / lower[0]) - unseen) * count["k"] / (count["k"] + EVIDENCE)
-    hashes, values = [np.empty(0, np.uint64)], [np.empty(0, np.float32)]
-    for batch in pairs.select("before", "word", *[F.col(n).cast("int") for n in ("n0", "n1")]).toArrow().to_batches(50_000):
-        first, second, n0, n1 = (batch.column(i).to_numpy() for i in range(4))
-        first, second = first.view(np.uint64), second.view(np.uint64)
-        before, word = np.searchsorted(words, first), np.searchsorted(words, second)
-        p = {}
-        for c, n in enumerate((n0, n1)):
-            p[c] = np.maximum(n - DISCOUNT, 0) / np.maximum(count[f"n{c}"][before], 1) + leave[c][before] * lower[c][word]
-        value = np.log(p[1] / p[0]) - np.log(leave[1] / leave[0])[before]
-        hashes.append(pair_keys(first, second))
-        values.append(((value - unseen) * (n0 + n1) / (n0 + n1 + EVIDENCE)).astype(np.float32))
-    tables = Lookup(words, single), Lookup(np.concatenate(hashes), np.concatenate(values))
-    ratio = Ratio(docs.sparkSession.sparkContext.broadcast(tables))
+    context = docs.sparkSession.sparkContext
+    stats = context.broadcast((words, count["n0"], count["n1"], leave, lower, unseen))
+    rated = pairs.mapInArrow(lambda batches: _pair_ratios(batches, stats), "pair long, value float").toArrow()
+    stats.unpersist()
+    in_pairs = Lookup(rated.column("pair").to_numpy().view(np.uint64), rated.column("value").to_numpy())
+    del rated
+    tables = Lookup(words, single), in_pairs
+    ratio = Ratio(context.broadcast(tables))
     found = rows.filter(calibrating("doc_id")).mapInArrow(
         lambda batches: _features(batches, ratio, ["toxic"]), "toxic int, f0 double, f1 double, f2 double"
     ).toPandas()
