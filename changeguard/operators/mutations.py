@@ -1,6 +1,7 @@
 """New states of tables: create, update, upsert, delete, merge, convert, notes.
 
-Every operator returns lazy DataFrames; writing them is the caller's step.
+Every operator returns DataFrames that the caller writes.  What several of them
+read is written to the shared folder on the way (``upsert_rows``, new ids).
 ``results`` tables have (id, code, message, field), one row per asked change.
 """
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from changeguard.functions.scalars import clip, is_blank, iso_utc
 from changeguard.operators.matching import upsert_match
 from changeguard.operators.ranking import dense_index, top_per_group
+from changeguard.session import written
 
 OK = "SUCCESS"
 BIN_DAYS = 60
@@ -126,15 +128,23 @@ def upsert_rows(target: DataFrame, incoming: DataFrame, check_fields: Sequence[s
     one write: the smallest row_id gives the values and the others are reported
     as duplicates, so running the same set again changes nothing.  A row that
     ``match`` does not hold is reported and not written.
+
+    The match and what is chosen from it are written once; the new rows and all
+    parts of the results are read from there.
     """
-    match = match if match is not None else upsert_match(incoming, target, check_fields)
+    match = match if match is not None else written(upsert_match(incoming, target, check_fields), "match")
     joined = incoming.join(match.select("row_id", "action", F.col("id").alias("_hit")), "row_id", "left")
     strays, joined = joined.where(F.col("action").isNull()), joined.where(F.col("action").isNotNull())
     key = F.to_json(F.struct(*[F.col(f).cast("string").alias(f) for f in check_fields]), {"ignoreNullFields": "false"})
     writes = joined.withColumn("_write", F.coalesce(F.concat(F.lit("id:"), F.col("_hit")),
                                                     F.concat(F.lit("new:"), key)))
     first = writes.groupBy("_write").agg(F.min("row_id").alias("_first"), F.count("*").alias("_n"))
-    chosen = writes.join(first, "_write").withColumn("_wins", F.col("row_id") == F.col("_first"))
+    wins = F.col("row_id") == F.col("_first")
+    # only values that will be written take the type of their column
+    cells = [F.when(wins, F.col(f).cast(target.schema[f].dataType)).alias(f) for f in set_fields]
+    chosen = written(writes.join(first, "_write").select("row_id", "action", "_hit", wins.alias("_wins"), *cells)
+                     .unionByName(strays.select("row_id", "action", "_hit"), allowMissingColumns=True), "chosen")
+    strays, chosen = chosen.where(F.col("action").isNull()), chosen.where(F.col("action").isNotNull())
     updates = chosen.where(F.col("_wins") & (F.col("action") == "update")).select(
         F.col("_hit").alias("id"), *set_fields)
     new, _ = update_rows(target, updates, set_fields)

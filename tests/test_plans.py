@@ -307,6 +307,29 @@ def test_upsert_refuses_extra_rows_and_keys_that_appeared(world, spark):
     assert len(world.state("email")) == 3 and [o for o, *_ in world.outcomes()] == ["refused", "refused"]
 
 
+def test_upsert_derives_its_match_once_per_step(world, spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(value):
+        seen.add(1)
+        return value
+
+    incoming = spark.createDataFrame([(1, "a@x", "up"), (2, "new@x", "made")], "row_id long, email string, stage string")
+    incoming = incoming.withColumn("email", F.udf(counted)("email"))
+    plan = upsert.plan_upsert(world.table.read(), "Deals", incoming, ["email"])
+    for read in (lambda: plan.rows.collect(), lambda: plan.rows.count()):
+        before = seen.value
+        read()
+        assert seen.value == before  # the plan's rows are stored
+    before = seen.value
+    result = upsert.apply_upsert(plan, world.table, world.ledger, incoming, ["email"], ["email", "stage"], NOW)
+    assert (seen.value - before) / 2 <= 8
+    before = seen.value
+    assert {(r.row_id, r.id, r.action, r.code) for r in result.extra["results"].collect()} == {
+        (1, "1", "update", "SUCCESS"), (2, "4", "create", "SUCCESS")}
+    assert seen.value == before
+
+
 def test_a_plan_grows_too_old(world):
     plan = update.plan_update(world.table.read(), "Deals", WHERE, CHANGE)
     plan.made = "2026-03-02 03:30:00"
