@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from changeguard.llm.components import components
 from changeguard.llm.text import array_views, byte_texts, mixed, shingles, word_hashes
-from changeguard.session import written
+from changeguard.session import small_batches, written
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -54,7 +54,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts, docs = np.zeros(BUCKETS, np.int64), 0
     for batch in batches:
         for text in byte_texts(batch.column(0)):
-            counts += 0 if not text else np.bincount(np.unique(_bucket(shingles(word_hashes(text)))), minlength=BUCKETS)
+            counts[np.unique(_bucket(shingles(word_hashes(text))))] += 1
             docs += 1
     some = np.flatnonzero(counts)
     for part in np.array_split(some, 1 + len(some) // 50_000):
@@ -65,7 +65,8 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def idf_table(docs: DataFrame, text: str = "text") -> np.ndarray:
     """The IDF factor of each bucket, counted over all documents; a table of fixed size."""
     rows = docs.select(text).mapInArrow(_frequencies, "bucket long, n long")
-    found = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    with small_batches(docs.sparkSession):
+        found = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts, place = np.zeros(BUCKETS + 1), found["bucket"].to_numpy()
     counts[place] = found["n"].to_numpy()
     rarity = np.log((counts[-1] + 1) / (counts[:-1] + 1)) / np.log(IDF_FULL)
@@ -299,6 +300,12 @@ def _compared(batches: Iterator[pa.RecordBatch], similar: float) -> Iterator[pa.
         )
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``written`` for steps that hand texts or features to Python."""
+    with small_batches(df.sparkSession):
+        return written(df, name)
+
+
 def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: float = SIMILAR) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, group_id, group_size, n_links, kept, digest.
 
@@ -313,7 +320,7 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", simila
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("doc_id"), F.md5(F.encode(whole, "utf-8")).alias("digest"), whole.alias("text"))
     idf = idf_table(rows)
-    signed = written(
+    signed = _written(
         rows.mapInArrow(
             lambda batches: _signatures(batches, idf),
             f"doc_id {docs.schema[key].dataType.simpleString()}, digest string, same string, bands array<long>, marks binary",
@@ -337,7 +344,7 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", simila
     wanted = asked.join(classes, "cid").select(
         "cid", F.col("rep.doc_id").alias("rep_id"), F.col("rep.digest").alias("rep_digest")
     )
-    features = written(
+    features = _written(
         rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("digest") == F.col("rep_digest")))
         .select("cid", "text")
         .mapInArrow(lambda batches: _features(batches, idf), "cid long, found binary, weights binary")
@@ -346,7 +353,7 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", simila
     )
     one = features.withColumnsRenamed({"cid": "a", "found": "found_a", "weights": "weights_a"})
     two = features.withColumnsRenamed({"cid": "b", "found": "found_b", "weights": "weights_b"})
-    linked = written(
+    linked = _written(
         pairs.join(one, "a")
         .join(two, "b")
         .mapInArrow(_verified, "a long, b long, similarity double")
@@ -360,7 +367,7 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", simila
         .withColumn("root", F.coalesce("root", "cid")),
         "starred",
     )
-    compared = written(
+    compared = _written(
         _blocks(rest, starred, features).mapInArrow(
             lambda batches: _compared(batches, similar), "a long, b long, similarity double, root_a long, root_b long"
         ),

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -90,6 +92,28 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{_shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run in here hand Python rows of at most ``BATCH_BYTES``, and one row more, at a time.
+
+    Batches are counted in rows otherwise: ten thousand long rows are held by
+    the executor, outside its heap, and by Python, more than once by each.  A
+    setting of the session's own is left as it is.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+
+
 # A job of so many seconds has left shuffle files that are worth a collection.
 COLLECT_AFTER = 1.0
 

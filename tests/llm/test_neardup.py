@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from changeguard.llm import neardup as N
 from changeguard.llm.components import components
@@ -114,3 +115,28 @@ def test_close_pairs_inside_a_template_family_are_linked(rows):
     assert 0.6 < np.mean(similar) < 0.79
     assert n_close > 150
     assert not lost
+
+
+def test_texts_and_features_go_to_python_in_batches_of_bounded_bytes(spark, monkeypatch):
+    from changeguard import session
+
+    limits, plain = {}, N.written
+
+    def noted(df, name):
+        limits[name] = spark.conf.get(session.BATCH_SETTING, None)
+        return plain(df, name)
+
+    monkeypatch.setattr(N, "written", noted)
+    docs = spark.createDataFrame([(i, f"{i % 2} " + " ".join(f"w{j}" for j in range(60))) for i in range(4)], "doc_id long, text string")
+    assert {r.group_id for r in N.near_groups(docs).collect()} == {0}
+    assert {limits[n] for n in ("signatures", "features", "links", "compared")} == {str(session.BATCH_BYTES)}
+    assert spark.conf.get(session.BATCH_SETTING, None) is None
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    long = spark.range(0, 40, 1, 1).selectExpr("repeat('x', 1000000) as text")
+    with session.small_batches(spark):
+        found = [r.n for r in long.mapInArrow(sizes, "n long").collect()]
+    assert len(found) > 1 and max(found) < session.BATCH_BYTES + 2_000_000
