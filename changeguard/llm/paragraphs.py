@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeguard.llm.components import components
-from changeguard.llm.text import byte_texts, mixed, shingles, word_hashes
+from changeguard.llm.text import array_views, byte_texts, mixed, shingles, word_hashes
 from changeguard.session import written
 
 PARAGRAPH = 46  # words
@@ -28,11 +28,27 @@ SHINGLE = 5
 WIDTH = PARAGRAPH - SHINGLE + 1  # shingles of a paragraph
 SIMILAR = 0.8
 RUN = 38  # shingles of a paragraph of which all others differ, where it just reaches SIMILAR
+LEAST_COMMON = min(n for n in range(WIDTH + 1) if n / (2 * WIDTH - n) >= SIMILAR)
 BANDS = 2
 DRIFT = 2  # words that a passage may shift by insertions inside one paragraph
 SEEDS = [np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)]
 
 
+def least_places(v: np.ndarray, width: int) -> np.ndarray:
+    """Where the least value of each run of ``width`` stands, the first of equal ones; never falls.
+
+    Runs are put together from two of half the width, the last ones from two that overlap.
+    """
+    least, at, size = v, np.arange(len(v)), 1
+    while size < width:
+        step = min(size, width - size)
+        later = least[step:] < least[:-step]
+        least = np.where(later, least[step:], least[:-step])
+        at = np.where(later, at[step:], at[:-step])
+        size += step
+    return at
+
+
 def minima(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct MinHash values over all paragraphs of a text, and where each first stands.
 
@@ -42,7 +58,8 @@ def minima(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(found) >= WIDTH:
         for band, seed in enumerate(SEEDS):
             v = mixed(found ^ seed)
-            at = np.unique(np.lib.stride_tricks.sliding_window_view(v, WIDTH).argmin(axis=1) + np.arange(len(v) - WIDTH + 1))
+            at = least_places(v, WIDTH)
+            at = at[np.concatenate(([True], at[1:] != at[:-1]))]
             values.append((v[at] & ~np.uint64(1)) | np.uint64(band))
             places.append(at)
     if not values:
@@ -54,13 +71,13 @@ def minima(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         both = [minima(shingles(word_hashes(t), SHINGLE)) for t in byte_texts(batch.column("text"))]
+        ends = pa.array(np.cumsum([0, *(len(v) for v, _ in both)]), pa.int32())
+        lists = [
+            pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, kind), *(x[i].view(kind) for x in both)])))
+            for i, kind in ((0, np.int64), (1, np.int64))
+        ]
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("digest"),
-                pa.array([v.view(np.int64) for v, _ in both], pa.list_(pa.int64())),
-                pa.array([p.astype(np.int32) for _, p in both], pa.list_(pa.int32())),
-            ],
+            [batch.column("doc_id"), batch.column("digest"), lists[0], lists[1].cast(pa.list_(pa.int32()))],
             names=["doc_id", "digest", "values", "places"],
         )
 
@@ -125,22 +142,29 @@ def common_spans(one: np.ndarray, two: np.ndarray, shift: int) -> list[tuple[int
     (first, past last) in one, and in two, in words.
     """
     size = len(one)
+    if size < WIDTH:
+        return []
     both = np.zeros(size, bool)
-    partner = np.full(size, -1)
+    found = []
     for drift in sorted(range(-DRIFT, DRIFT + 1), key=abs, reverse=True):
-        at = np.arange(size) + shift + drift
-        good = (at >= 0) & (at < len(two))
-        same = np.zeros(size, bool)
-        same[good] = one[good] == two[at[good]]
-        both |= same
-        partner[same] = at[same]
-    if size < WIDTH:
+        ahead = shift + drift
+        low, high = max(0, -ahead), min(size, len(two) - ahead)
+        if low < high:
+            same = one[low:high] == two[low + ahead : high + ahead]
+            both[low:high] |= same
+            found.append((low, ahead, same))
+    # 2 * WIDTH * SIMILAR / (1 + SIMILAR) places are needed in one paragraph
+    if np.count_nonzero(both) < LEAST_COMMON:
         return []
     sums = np.concatenate(([0], np.cumsum(both)))
     inside = sums[WIDTH:] - sums[:-WIDTH]
     fits = np.flatnonzero(inside / (2 * WIDTH - inside) >= SIMILAR)
     spans = []
     if len(fits):
+        partner = np.full(size, -1)
+        for low, ahead, same in found:
+            at = low + np.flatnonzero(same)
+            partner[at] = at + ahead
         breaks = np.flatnonzero(np.diff(fits) > WIDTH)
         for start, end in zip(fits[np.concatenate(([0], breaks + 1))], fits[np.concatenate((breaks, [len(fits) - 1]))]):
             part = start + np.flatnonzero(both[start : end + WIDTH])
@@ -152,9 +176,10 @@ def common_spans(one: np.ndarray, two: np.ndarray, shift: int) -> list[tuple[int
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        cols = {n: batch.column(n).to_pylist() for n in batch.schema.names}
+        around = {f"around_{x}": array_views(batch.column(f"around_{x}"), np.uint32) for x in "ab"}
+        cols = {n: batch.column(n).to_pylist() for n in batch.schema.names if n not in around} | around
         for i in range(batch.num_rows):
-            one, two = (np.frombuffer(cols[f"around_{x}"][i], np.uint32) for x in "ab")
+            one, two = (cols[f"around_{x}"][i] for x in "ab")
             start_a, start_b = cols["start_a"][i], cols["start_b"][i]
             # the texts differ by first_b - first_a; the cut-outs begin elsewhere
             shift = (cols["first_b"][i] - start_b) - (cols["first_a"][i] - start_a)

@@ -106,15 +106,22 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
 
 
+MULTIPLIER = 0x9E3779B97F4A7C15
+
+
 def shingles(hashes: np.ndarray, size: int = 5) -> np.ndarray:
     """Hashes of all runs of ``size`` words in order; fewer words, but not none, are one shingle."""
     if not len(hashes):
         return hashes
     size = min(size, len(hashes))
-    count = len(hashes) - size + 1
-    out = np.zeros(count, np.uint64)
-    for i in range(size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + count]
+    # a run is two of half its length, the first one raised past the second, and a word more if its length is odd
+    out, held = hashes, 1
+    for bit in bin(size)[3:]:
+        out = out[:-held] * np.uint64(pow(MULTIPLIER, held, 1 << 64)) + out[held:]
+        held *= 2
+        if bit == "1":
+            out = out[:-1] * np.uint64(MULTIPLIER) + hashes[held:]
+            held += 1
     return mixed(out + np.uint64(size))
 
 

@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from changeguard.llm import paragraphs as P
+from changeguard.llm.text import mixed, shingles
 
 SCHEMA = "doc_id long, text string, start string, row string"
 
@@ -76,3 +77,31 @@ def test_passages_with_a_common_line_of_other_documents(rows):
     out = P.repeats(rows([(i, " ".join(t), "x", None) for i, t in sorted(texts.items())], SCHEMA)).collect()
     want = {(10 + 2 * i + k, 70, 121, k == 0, 10 + 2 * i) for i in range(12) for k in (0, 1)}
     assert {(r.doc_id, r.start, r.end, r.kept, r.cluster_id) for r in out} == want
+
+
+def test_least_places_and_long_runs_equal_plain_ones():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 4, 41, 42, 43, 90, 300):
+        for kinds in (2, 40, 1 << 62):
+            v = rng.integers(0, kinds, size).astype(np.uint64)
+            for width in (1, 2, 5, 38, 42):
+                if size >= width:
+                    plain = [i + int(v[i : i + width].argmin()) for i in range(size - width + 1)]
+                    assert P.least_places(v, width).tolist() == plain
+                if size:
+                    n, out = min(width, size), []
+                    for i in range(size - n + 1):
+                        value = 0
+                        for word in v[i : i + n].tolist():
+                            value = (value * 0x9E3779B97F4A7C15 + word) % (1 << 64)
+                        out.append((value + n) % (1 << 64))
+                    assert shingles(v, width).tolist() == mixed(np.array(out, np.uint64)).tolist()
+
+
+def test_common_spans_need_enough_common_places_in_one_paragraph():
+    one = np.arange(100, dtype=np.uint32)
+    for same in (P.LEAST_COMMON - 1, P.LEAST_COMMON):
+        two = np.where(np.arange(100) < same, one, one + 1000).astype(np.uint32)
+        expected = [(0, same - 1 + P.SHINGLE, 0, same - 1 + P.SHINGLE)] if same >= P.LEAST_COMMON else []
+        assert P.common_spans(one, two, 0) == expected
+    assert P.common_spans(one, one[:0], 0) == [] and P.common_spans(one, one, 500) == []
