@@ -8,6 +8,7 @@ sequences, so neighbours on the curve share sequences.
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,12 +19,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeguard.session import written
+from changeguard.session import small_batches, written
 
 LENGTH = 2048
 END_ID = 1
 DIMS, BITS = 4, 12  # of the curve: 48 bits
 RANGE_TOKENS = 1 << 22  # tokens in one sorted range
+OUT_TOKENS = LENGTH << 9  # tokens of pieces handed to Spark at once
 ID_KIND = np.dtype("<u2")  # ids of the vocabularies here are below 65,536
 OUT_KIND = np.dtype("<u4")
 
@@ -41,65 +43,73 @@ def _byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class _Pieces(dict):
-    """Ids of single pre-tokens, straight from the merges."""
-
-    def __init__(self, model, limit: int):
-        super().__init__()
-        self.tokenize, self.limit, self.symbols = model.tokenize, limit, _byte_symbols()
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        mapped = piece.encode().decode("latin-1").translate(self.symbols)
-        ids = self[piece] = np.array([t.id for t in self.tokenize(mapped)], ID_KIND).tobytes()
-        return ids
+# Python takes these for white space, the vocabulary's pattern does not.
+_SPLITS_ALIKE = "\x1c\x1d\x1e\x1f"
+# Characters below U+0300 have nothing to compose, and one lower case; that of İ, Ⱥ and Ⱦ is not below.
+_HIGH = re.compile("[^\x00-\u02ff]").search
 
 
 class Chunks(dict):
     """Ids of texts without white space, for the chunks met last.
 
     The vocabulary drops white space and cuts texts at it, so the ids of a
-    text are those of its chunks in order.  A chunk of Latin letters with ASCII
-    marks after them is two pre-tokens; any other goes through the whole
-    tokenizer.
+    text are those of its chunks in order.  A chunk of Latin letters goes
+    straight through the merges, one with ASCII marks after them is two such
+    chunks; any other goes through the whole tokenizer.  When ``LIMIT`` chunks
+    are new, those of the round before are let go, but for those met again.
     """
 
     MARKS = string.punctuation
-    LIMIT = 400_000
+    LIMIT = 300_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.whole = Tokenizer.from_file(path)
-        self.pieces = _Pieces(self.whole.model, self.LIMIT)
+        self.added = [t.content.lower() for t in self.whole.get_added_tokens_decoder().values()]
+        self.tokenize, self.symbols = self.whole.model.tokenize, _byte_symbols()
+        self.packed = [ID_KIND.type(i).tobytes() for i in range(1 << 16)]
+        self.before = {}
 
     def __missing__(self, chunk: str) -> bytes:
+        ids = self.before.get(chunk)
+        if ids is None:
+            ids = self._looked_up(chunk)
         if len(self) >= self.LIMIT:
+            self.before = dict(self)
             self.clear()
-        if chunk.isascii() or (max(chunk) < "̀" and "İ" not in chunk):
-            low = chunk.lower()
-            core = low.rstrip(self.MARKS)
-            if core.isalpha():
-                ids = self.pieces[core]
-                if len(core) < len(low):
-                    ids += self.pieces[low[len(core) :]]
-                self[chunk] = ids
-                return ids
-        ids = self[chunk] = np.array(self.whole.encode(chunk, add_special_tokens=False).ids, ID_KIND).tobytes()
+        self[chunk] = ids
         return ids
 
+    def _looked_up(self, chunk: str) -> bytes:
+        low = chunk.lower()
+        if low.isascii():  # a letter of ASCII is its own symbol
+            core = mapped = low.rstrip(self.MARKS)
+        elif not (_HIGH(chunk) or _HIGH(low)):
+            core = low.rstrip(self.MARKS)
+            mapped = core.encode().decode("latin-1").translate(self.symbols)
+        else:
+            return self._encoded(chunk)
+        if not core.isalpha():
+            return self._encoded(chunk)
+        if len(core) < len(low):
+            return self[core] + self[low[len(core) :]]
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.tokenize(mapped)])
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, ID_KIND).tobytes()
+
     def ids(self, text: str) -> bytes:
         if any(c in text for c in _SPLITS_ALIKE):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, ID_KIND).tobytes()
+            return self._encoded(text)
+        low = text.lower()
+        if not (_HIGH(text) or _HIGH(low) or any(t in low for t in self.added)):
+            text = low  # its chunks have the same ids, and fewer of them differ
         return b"".join(map(self.__getitem__, text.split()))
 
 
-# Python takes these for white space, the vocabulary's pattern does not.
-_SPLITS_ALIKE = "\x1c\x1d\x1e\x1f"
-
-
 @lru_cache(maxsize=2)
 def chunks(path: str) -> Chunks:
     return Chunks(path)
@@ -169,65 +179,65 @@ def _tokenised(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Reco
 PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+def _pieces(ids: np.ndarray, docs: pa.Array, begins: np.ndarray, tokens: np.ndarray, at: np.ndarray, stop: int, first: int) -> pa.RecordBatch:
+    """The pieces of a stream of ids from the first of ``at``, where its sequences begin, to ``stop``.
+
+    ``begins`` is where each document begins, before the stream if that is under 0.
+    """
+    inside = begins[(begins > at[0]) & (begins < stop)]
+    cuts = np.union1d(at, inside)
+    doc = np.searchsorted(begins, cuts, "right") - 1
+    sequence = np.searchsorted(at, cuts, "right") - 1
+    ends = np.append(cuts, stop)
+    data = pa.py_buffer(ids[at[0] : stop].astype(OUT_KIND))
+    places = pa.py_buffer(((ends - at[0]) * OUT_KIND.itemsize).astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [
+            docs.take(pa.array(doc)),
+            pa.array(cuts - begins[doc]),
+            pa.array(np.diff(ends)),
+            pa.Array.from_buffers(pa.binary(), len(cuts), [None, places, data]),
+            pa.array(tokens[doc]),
+            pa.array(first + sequence),
+            pa.array(cuts - at[sequence]),
+        ],
+        names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
+    )
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One sorted range of (doc_id, ids) to pieces.
 
     The tokens that are left at its end become sequences of powers of two,
     so they need no padding either.
     """
-    first = TaskContext.get().partitionId() << 32
-    kind = None
-    done: list[tuple] = []
-    open_pieces: list[tuple] = []  # of the sequence being filled: doc, ids, start, length
-    filled, sequence = 0, 0
-
-    def close(pieces):
-        nonlocal sequence
-        offset = 0
-        for doc, ids, start, length in pieces:
-            part = ids[start : start + length].astype(OUT_KIND).tobytes()
-            done.append((doc, start, length, part, len(ids), first + sequence, offset))
-            offset += length
-        sequence += 1
-
-    def out():
-        columns = list(zip(*done)) or [()] * 7
-        kinds = [kind, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-        names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-        batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-        done.clear()
-        return batch
-
+    sequence = TaskContext.get().partitionId() << 32
+    # the sequence that is not full yet: its ids, the documents in it, where they begin and their sizes
+    ids, docs, begins, tokens = np.empty(0, ID_KIND), None, np.empty(0, np.int64), np.empty(0, np.int64)
     for batch in batches:
-        kind = batch.column("doc_id").type
-        for doc, packed in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
-            ids = np.append(np.frombuffer(packed, ID_KIND), ID_KIND.type(END_ID))
-            start = 0
-            while start < len(ids):
-                length = min(LENGTH - filled, len(ids) - start)
-                open_pieces.append((doc, ids, start, length))
-                start, filled = start + length, filled + length
-                if filled == LENGTH:
-                    close(open_pieces)
-                    open_pieces, filled = [], 0
-        if done:
-            yield out()
-    size = LENGTH
-    while filled:
-        size >>= 1
-        if filled & size:
-            part, room = [], size
-            while room:
-                doc, ids, start, length = open_pieces.pop(0)
-                take = min(room, length)
-                part.append((doc, ids, start, take))
-                if take < length:
-                    open_pieces.insert(0, (doc, ids, start + take, length - take))
-                room -= take
-            close(part)
-            filled -= size
-    if done:
-        yield out()
+        if not batch.num_rows:
+            continue
+        packed = batch.column("ids").to_pylist()
+        sizes = np.array([len(x) for x in packed], np.int64) // ID_KIND.itemsize + 1
+        ends = np.cumsum(sizes)
+        more = np.full(ends[-1], END_ID, ID_KIND)
+        text = np.ones(len(more), bool)
+        text[ends - 1] = False
+        more[text] = np.frombuffer(b"".join(packed), ID_KIND)
+        begins = np.append(begins, len(ids) + ends - sizes)
+        ids, tokens = np.append(ids, more), np.append(tokens, sizes)
+        docs = batch.column("doc_id") if docs is None else pa.concat_arrays([docs, batch.column("doc_id")])
+        full = len(ids) // LENGTH * LENGTH
+        for start in range(0, full, OUT_TOKENS):
+            stop = min(full, start + OUT_TOKENS)
+            at = np.arange(start, stop, LENGTH)
+            yield _pieces(ids, docs, begins, tokens, at, stop, sequence)
+            sequence += len(at)
+        opened = begins + tokens > full
+        ids, docs, begins, tokens = ids[full:], docs.filter(pa.array(opened)), begins[opened] - full, tokens[opened]
+    if len(ids):
+        sizes = [LENGTH >> i for i in range(1, LENGTH.bit_length()) if len(ids) & (LENGTH >> i)]
+        yield _pieces(ids, docs, begins, tokens, np.cumsum([0, *sizes[:-1]]), len(ids), sequence)
 
 
 def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str | None = None) -> DataFrame:
@@ -243,12 +253,13 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: s
     path = vocabulary or default_vocabulary()
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    tokens = written(
-        rows.mapInArrow(lambda batches: _tokenised(batches, path), f"doc_id {kind}, ids binary, place long").withColumn(
-            "row", F.monotonically_increasing_id()
-        ),
-        "tokens",
-    )
+    with small_batches(docs.sparkSession):
+        tokens = written(
+            rows.mapInArrow(lambda batches: _tokenised(batches, path), f"doc_id {kind}, ids binary, place long").withColumn(
+                "row", F.monotonically_increasing_id()
+            ),
+            "tokens",
+        )
     total = tokens.agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()[0] // ID_KIND.itemsize
     ranges = max(1, -(-total // RANGE_TOKENS))
     return (

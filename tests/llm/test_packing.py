@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -60,3 +61,38 @@ def test_the_curve_visits_every_cell_by_single_steps():
         assert sorted(place.tolist()) == list(range(len(cells)))
         walk = cells[np.argsort(place)]
         assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_frequent_chunks_are_looked_up_once_and_case_makes_no_other_chunk(tokenizer, monkeypatch):
+    monkeypatch.setattr(P.Chunks, "LIMIT", 20)
+    known, asked = P.Chunks(P.default_vocabulary()), []
+    look_up = known._looked_up
+    monkeypatch.setattr(known, "_looked_up", lambda chunk: asked.append(chunk) or look_up(chunk))
+    for i in range(200):
+        text = f"often OFTEN x{chr(97 + i % 26)}{chr(97 + i // 26)}"
+        assert np.frombuffer(known.ids(text), P.ID_KIND).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert asked.count("often") == 1 and "OFTEN" not in asked
+
+
+@pytest.mark.parametrize("text", ["Ⱥb ȺC, 2Ⱦ", "<|EndOfText|> <|endoftext|>", "Kelvin K ſ Ω", "a\x85b\xa0c It'S 5's ('s ''s"])
+def test_texts_are_lower_cased_first_only_where_no_id_changes(tokenizer, text):
+    ids = np.frombuffer(P.Chunks(P.default_vocabulary()).ids(text), P.ID_KIND).tolist()
+    assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_leave_in_bounded_batches(monkeypatch):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 2)
+
+    monkeypatch.setattr(P, "TaskContext", Task)
+    sizes = [3 * P.OUT_TOKENS, 0, 5, 2043, 4096, 17]
+    ids = pa.array([np.arange(n).astype(P.ID_KIND).tobytes() for n in sizes], pa.binary())
+    table = pa.record_batch([pa.array(range(len(sizes))), ids], ["doc_id", "ids"])
+    out = list(P._cut(iter([table.slice(0, 2), table.slice(2)])))
+    assert max(sum(b.column("length").to_pylist()) for b in out) <= P.OUT_TOKENS
+    rows = pa.Table.from_batches(out).to_pylist()
+    for doc, n in enumerate(sizes):
+        parts = [np.frombuffer(r["ids"], P.OUT_KIND) for r in rows if r["doc_id"] == doc]
+        assert np.concatenate(parts).tolist() == [*np.arange(n).astype(P.ID_KIND).tolist(), P.END_ID]
+    assert sum(r["length"] for r in rows) == sum(sizes) + len(sizes)
