@@ -114,6 +114,12 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(BATCH_SETTING)
 
 
+def limit_batches(spark: SparkSession) -> None:
+    """``small_batches`` for the rest of the session: for tables whose job only starts once they are handed on."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 # A job of so many seconds has left shuffle files that are worth a collection.
 COLLECT_AFTER = 1.0
 
