@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeguard.llm.components import components
-from changeguard.llm.text import WORD_HASHES, array_views, byte_texts, shingles
+from changeguard.llm.text import array_views, byte_texts, hashed, shingles
 from changeguard.session import written
 
 SIZE = 4
@@ -39,7 +39,7 @@ BLOCK = 1024  # entries of an n-gram that are compared with as many others at a
 def grams(text: bytes, size: int = SIZE) -> np.ndarray:
     """The distinct n-grams of a text as sorted hashes: words between white space, A-Z lower-cased."""
     found = text.lower().split()
-    return np.unique(shingles(np.fromiter(map(WORD_HASHES.__getitem__, found), np.uint64, len(found)), size))
+    return np.unique(shingles(hashed(found), size))
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:

@@ -31,20 +31,20 @@ RUN = 38  # shingles of a paragraph of which all others differ, where it just re
 LEAST_COMMON = min(n for n in range(WIDTH + 1) if n / (2 * WIDTH - n) >= SIMILAR)
 BANDS = 2
 DRIFT = 2  # words that a passage may shift by insertions inside one paragraph
-SEEDS = [np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)]
+BAND_SEEDS = np.array([[0x243F6A8885A308D3], [0x13198A2E03707344]], np.uint64)
 
 
 def least_places(v: np.ndarray, width: int) -> np.ndarray:
-    """Where the least value of each run of ``width`` stands, the first of equal ones; never falls.
+    """Where the least value of each run of ``width`` stands, the first of equal ones; never falls.  Rows of ``v`` are apart.
 
     Runs are put together from two of half the width, the last ones from two that overlap.
     """
-    least, at, size = v, np.arange(len(v)), 1
+    least, at, size = v, np.broadcast_to(np.arange(v.shape[-1]), v.shape), 1
     while size < width:
         step = min(size, width - size)
-        later = least[step:] < least[:-step]
-        least = np.where(later, least[step:], least[:-step])
-        at = np.where(later, at[step:], at[:-step])
+        later = least[..., step:] < least[..., :-step]
+        least = np.minimum(least[..., step:], least[..., :-step])
+        at = np.where(later, at[..., step:], at[..., :-step])
         size += step
     return at
 
@@ -54,18 +54,19 @@ def minima(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
     Values of different bands differ by their lowest bit.
     """
-    values, places = [], []
-    if len(found) >= WIDTH:
-        for band, seed in enumerate(SEEDS):
-            v = mixed(found ^ seed)
-            at = least_places(v, WIDTH)
-            at = at[np.concatenate(([True], at[1:] != at[:-1]))]
-            values.append((v[at] & ~np.uint64(1)) | np.uint64(band))
-            places.append(at)
-    if not values:
+    if len(found) < WIDTH:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    value, first = np.unique(np.concatenate(values), return_index=True)
-    return value, np.concatenate(places)[first]
+    v = mixed(found ^ BAND_SEEDS)
+    at = least_places(v, WIDTH)
+    new = np.ones(at.shape, bool)
+    np.not_equal(at[:, 1:], at[:, :-1], out=new[:, 1:])
+    band, run = np.nonzero(new)
+    places = at[band, run]
+    values = (v[band, places] & ~np.uint64(1)) | band.astype(np.uint64)
+    order = np.argsort(values, kind="stable")
+    values, places = values[order], places[order]
+    first = np.append(True, values[1:] != values[:-1])
+    return values[first], places[first]
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,6 +107,13 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def run_starts(places: np.ndarray, size: int) -> np.ndarray:
+    """Where runs of ``RUN`` begin that a paragraph around one of the places may hold, in a text of ``size`` shingles."""
+    low, high = np.maximum(places + 1 - WIDTH, 0), np.minimum(places + WIDTH - RUN, size - RUN) + 1
+    change = np.bincount(low, minlength=size + 1) - np.bincount(high, minlength=size + 1)
+    return np.flatnonzero(np.cumsum(change) > 0)
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, text, places) to (value, row, place): each run of ``RUN`` shingles that a paragraph around one of the places may hold."""
     for batch in batches:
@@ -121,8 +129,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = shingles(word_hashes(text), SHINGLE)
             if len(found) < WIDTH:
                 continue
-            starts = np.unique(np.array(places)[:, None] + np.arange(1 - WIDTH, WIDTH - RUN + 1))
-            starts = starts[(starts >= 0) & (starts <= len(found) - RUN)]
+            starts = run_starts(np.array(places), len(found))
             out.append((shingles(found, RUN)[starts], np.full(len(starts), row, np.int64), starts))
             size += len(starts)
             if size > 200_000:

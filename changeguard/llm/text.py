@@ -80,24 +80,17 @@ def array_views(column: pa.Array, kind: type) -> list[np.ndarray]:
     return [data[a:b].view(kind) for a, b in zip(offsets[:-1], offsets[1:])]
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept for the words met last; the same in every process."""
+def hashed(found: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words, the same in every process.
 
-    LIMIT = 100_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-WORD_HASHES = WordHashes()
+    A word is hashed each time it is met: keeping hashes costs more than that
+    once the words of a corpus outgrow the processor's caches.
+    """
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
 
 
 def word_hashes(text: bytes) -> np.ndarray:
-    found = words(text)
-    return np.fromiter(map(WORD_HASHES.__getitem__, found), np.uint64, len(found))
+    return hashed(words(text))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -105,3 +105,20 @@ def test_common_spans_need_enough_common_places_in_one_paragraph():
         expected = [(0, same - 1 + P.SHINGLE, 0, same - 1 + P.SHINGLE)] if same >= P.LEAST_COMMON else []
         assert P.common_spans(one, two, 0) == expected
     assert P.common_spans(one, one[:0], 0) == [] and P.common_spans(one, one, 500) == []
+
+
+def test_run_starts_and_minima_equal_plain_ones():
+    rng = np.random.default_rng(8)
+    for size in (P.WIDTH, P.WIDTH + 1, 60, 400):
+        places = rng.integers(0, size, 5)
+        plain = {s for p in places for s in range(p + 1 - P.WIDTH, p + P.WIDTH - P.RUN + 1) if 0 <= s <= size - P.RUN}
+        assert P.run_starts(places, size).tolist() == sorted(plain)
+        found = rng.integers(0, 30, size).astype(np.uint64)  # many equal shingles
+        want = {}
+        for band, seed in enumerate(P.BAND_SEEDS[:, 0]):
+            v = mixed(found ^ seed)
+            for i in range(size - P.WIDTH + 1):
+                at = i + int(np.argmin(v[i : i + P.WIDTH]))
+                want.setdefault(int(v[at]) & ~1 | band, at)
+        values, first = P.minima(found)
+        assert dict(zip(values.tolist(), first.tolist())) == want and (values[1:] > values[:-1]).all()
